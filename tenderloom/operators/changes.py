@@ -74,12 +74,11 @@ def is_dead(code: Column | str) -> Column:
     return F.coalesce(tx.col(code).isin(*fv.DEAD_HTTP_CODES), F.lit(False))
 
 
-def dead_link_counter(probes: DataFrame, bits: int = 16) -> DataFrame:
-    """(id, url_dead, link_dead) after all runs: dead adds one, any other answer resets,
-    no verdict holds.
+def dead_link_summary(probes: DataFrame, bits: int = 16) -> DataFrame:
+    """(id, reset, dead): was any answer a live one, and how many dead ones came after it.
 
-    ``run`` orders the probes of an id. The count after the last reset is taken inside
-    bounded blocks of runs first and put together from one row per block.
+    ``run`` orders the probes of an id. Bounded blocks of runs are summed up first, then
+    put together from one row per block.
     """
     code = F.col("code")
     in_block = Window.partitionBy("id", "_block")
@@ -87,16 +86,24 @@ def dead_link_counter(probes: DataFrame, bits: int = 16) -> DataFrame:
         "_dead": is_dead(code), "_reset": code.isNotNull() & ~is_dead(code),
     })
     rows = rows.withColumn("_last_reset", F.max(F.when(F.col("_reset"), F.col("run"))).over(in_block))
+    after_reset = F.col("_last_reset").isNull() | (F.col("run") > F.col("_last_reset"))
     blocks = rows.groupBy("id", "_block").agg(
-        F.max("_last_reset").alias("reset"),
-        F.count_if(F.col("_dead") & (F.col("_last_reset").isNull() | (F.col("run") > F.col("_last_reset")))).alias("dead"),
+        F.max("_last_reset").alias("reset"), F.count_if(F.col("_dead") & after_reset).alias("dead")
     )
     per_id = Window.partitionBy("id")
     last = blocks.withColumn(
         "_reset_block", F.max(F.when(F.col("reset").isNotNull(), F.col("_block"))).over(per_id)
     ).where("_reset_block IS NULL OR _block >= _reset_block")
-    return last.groupBy("id").agg(F.sum("dead").alias("url_dead")).withColumn(
-        "link_dead", F.col("url_dead") >= fv.DEAD_RUNS
+    return last.groupBy("id").agg(
+        F.max("_reset_block").isNotNull().alias("reset"), F.sum("dead").alias("dead")
+    )
+
+
+def dead_link_counter(probes: DataFrame, bits: int = 16) -> DataFrame:
+    """(id, url_dead, link_dead) after all runs: dead adds one, any other answer resets,
+    no verdict holds."""
+    return dead_link_summary(probes, bits).select(
+        "id", F.col("dead").alias("url_dead"), (F.col("dead") >= fv.DEAD_RUNS).alias("link_dead")
     )
 
 

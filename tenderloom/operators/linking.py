@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenderloom.functions import text as tx
+from tenderloom.materialize import materialize
 from tenderloom.operators.dedup import prune_orphans
 from tenderloom.operators.filters import as_date
 from tenderloom.settings import Settings
@@ -176,6 +177,18 @@ def link_month(
     )
 
 
+def link_dumps(
+    competition: DataFrame, contracts: DataFrame, previous: DataFrame, settings: Settings = Settings()
+) -> DataFrame:
+    """Apply every dump (column ``dump``) to the links, oldest first."""
+    links = previous
+    # one value per dump, a handful per run
+    dumps = [r["dump"] for r in contracts.select("dump").distinct().orderBy("dump").toLocalIterator()]
+    for dump in dumps:
+        links = materialize(link_month(competition, contracts.where(F.col("dump") == dump), links, settings))
+    return links
+
+
 def link_confidence_counts(links: DataFrame) -> DataFrame:
     return links.agg(
         F.count("*").alias("linked"),

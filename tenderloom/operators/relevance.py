@@ -49,7 +49,8 @@ def common_words(titles: DataFrame, title: str = "title") -> Column:
 def title_tokens(title: Column | str, common: Column) -> Column:
     """Distinctive words: long enough, no stop word, not common across the data."""
     stop = F.array(*map(F.lit, fv.STOP_WORDS))
-    return F.array_except(F.array_except(tx.long_tokens(title), stop), common)
+    words = F.coalesce(tx.long_tokens(title), F.array().cast("array<string>"))
+    return F.array_except(F.array_except(words, stop), common)
 
 
 def fingerprint(tenders: DataFrame, common: Column) -> DataFrame:
