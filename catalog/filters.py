@@ -6,7 +6,7 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from catalog.views import TODAY, query, table, view
+from catalog.views import TODAY, query, spread_table, table, view
 from tenderloom import Settings
 from tenderloom.operators import competition as cp
 from tenderloom.operators import dashboard as db
@@ -33,12 +33,12 @@ _POS, _NEG = _kw_sql("text")
 
 @query(f"SELECT doc_id, {_POS} AND NOT {_NEG} AS hit FROM documents")
 def kw_match(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", fl.kw_match("text", WORDS).alias("hit"))
+    return spread_table(spark, sf, "documents").select("doc_id", fl.kw_match("text", WORDS).alias("hit"))
 
 
 @query(f"SELECT doc_id, {_NEG} AS veto FROM documents")
 def kw_negative(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", fl.kw_negative("text", WORDS).alias("veto"))
+    return spread_table(spark, sf, "documents").select("doc_id", fl.kw_negative("text", WORDS).alias("veto"))
 
 
 _TPOS, _TNEG = _kw_sql("coalesce(title, '')")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.views import query, table, view
+from catalog.views import query, spread_table, table, view
 from tenderloom import fixed_values as fv
 from tenderloom.functions import numbers as nm
 from tenderloom.functions import text as tx
@@ -18,22 +18,22 @@ _ASCII = "trim(regexp_replace(lower(strip_accents({})), '[^a-z0-9]+', ' ', 'g'))
 
 @query(f"SELECT doc_id, {_FOLD.format('text')} AS folded FROM documents")
 def fold_text(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", tx.fold_text("text").alias("folded"))
+    return spread_table(spark, sf, "documents").select("doc_id", tx.fold_text("text").alias("folded"))
 
 
 @query(f"SELECT doc_id, {_NORM.format('text')} AS norm FROM documents")
 def norm_title(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", tx.norm_title("text").alias("norm"))
+    return spread_table(spark, sf, "documents").select("doc_id", tx.norm_title("text").alias("norm"))
 
 
 @query(r"SELECT doc_id, regexp_replace(lower(strip_accents(text)), '[^\p{L}\p{N}]', ' ', 'g') AS norm FROM documents")
 def norm_geo(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", tx.norm_geo("text").alias("norm"))
+    return spread_table(spark, sf, "documents").select("doc_id", tx.norm_geo("text").alias("norm"))
 
 
 @query(f"SELECT doc_id, {_ASCII.format('text')} AS norm FROM documents")
 def norm_ascii(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", tx.norm_ascii("text").alias("norm"))
+    return spread_table(spark, sf, "documents").select("doc_id", tx.norm_ascii("text").alias("norm"))
 
 
 @query(f"""
@@ -41,7 +41,7 @@ SELECT doc_id, len(t) AS n, array_to_string(list_sort(t), ' ') AS tokens FROM (
   SELECT doc_id, list_distinct(list_filter(string_split({_NORM.format('text')}, ' '), lambda w: length(w) > 3)) AS t
   FROM documents)""")
 def sig_tokens(spark, sf):
-    t = table(spark, sf, "documents").select("doc_id", F.array_sort(tx.sig_tokens("text")).alias("t"))
+    t = spread_table(spark, sf, "documents").select("doc_id", F.array_sort(tx.sig_tokens("text")).alias("t"))
     return t.select("doc_id", F.size("t").cast("bigint").alias("n"), F.array_join("t", " ").alias("tokens"))
 
 
@@ -190,5 +190,5 @@ def inflect_sql(w: str) -> str:
 SELECT word, array_to_string(list_sort({inflect_sql('word')}), ' ') AS forms FROM (
   SELECT DISTINCT unnest(string_split({_NORM.format('text')}, ' ')) AS word FROM documents) WHERE word <> ''""", key="inflect_variants")
 def inflect_variants_query(spark, sf):
-    words = table(spark, sf, "documents").select(F.explode(tx.tokens(tx.norm_title("text"))).alias("word")).distinct()
+    words = spread_table(spark, sf, "documents").select(F.explode(tx.tokens(tx.norm_title("text"))).alias("word")).distinct()
     return words.select("word", F.array_join(F.array_sort(inflect_variants("word")), " ").alias("forms"))

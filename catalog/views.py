@@ -124,6 +124,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table for work that is heavy per row. A file of a single row group is one task, so
+    where the scan has fewer tasks than cores the rows are dealt out first."""
+    df = table(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The view as a DataFrame, with arrays and structs in place of joined text."""
     text = SQL[name]

@@ -146,13 +146,15 @@ def derive_deadline(zps: Column, history: Column) -> Column:
     """First kind of deadline that is present, active entries before any; then history."""
     terms = _flat(F.transform(zps, lambda z: z["lhuty"]))
     past = _flat(F.transform(history, lambda h: h["zaznamy"]))
-    tiers = []
-    for kind in fv.DEADLINE_KINDS:
-        tiers.append(_latest_end(
-            terms, lambda t, k=kind: (t["druh_lhuty"] == k) & F.coalesce(t["aktivni"], F.lit(False))
-        ))
-        tiers.append(_latest_end(terms, lambda t, k=kind: t["druh_lhuty"] == k))
-    tiers += [_latest_end(past, lambda t, k=kind: t["druh_lhuty"] == k) for kind in fv.DEADLINE_KINDS]
+    def of_kind(kind: str):
+        return lambda t: t["druh_lhuty"] == kind
+
+    def active(kind: str):
+        return lambda t: (t["druh_lhuty"] == kind) & F.coalesce(t["aktivni"], F.lit(False))
+
+    tiers = [
+        _latest_end(terms, choose(kind)) for kind in fv.DEADLINE_KINDS for choose in (active, of_kind)
+    ] + [_latest_end(past, of_kind(kind)) for kind in fv.DEADLINE_KINDS]
     return F.coalesce(*tiers)
 
 

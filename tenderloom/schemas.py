@@ -20,7 +20,7 @@ _PROCEDURE = (
     f"vybrani_dodavatele_zadavaciho_postupu:array<struct<subjekt:{_SUBJECT}>>>>"
 )
 REGISTRY_RECORD = (
-    "verejna_zakazka:struct<identifikator_NIPEZ:string,nazev_verejne_zakazky:string,"
+    "verejna_zakazka struct<identifikator_NIPEZ:string,nazev_verejne_zakazky:string,"
     "rezim_verejne_zakazky:string,predpokladana_hodnota_bez_DPH_v_CZK:double,"
     "predpokladana_hodnota_bez_DPH:double,predpokladana_hodnota_bez_DPH_mena:string,"
     "identifikatory_v_elektronickem_nastroji:array<struct<identifikator:string,kod_nastroje:string>>,"
@@ -30,19 +30,19 @@ REGISTRY_RECORD = (
     "zadavaci_postupy:array<struct<zadavatel_zadavaciho_postupu:struct<zadavatele:array<struct<"
     f"zadava_zadavaci_postup:boolean,adresa_profilu:string,subjekt:{_SUBJECT}>>>,"
     f"zadavaci_postupy_pro_casti:array<{_PROCEDURE}>>>>,"
-    "historie_lhut:array<struct<zaznamy:array<struct<druh_lhuty:string,datum_a_cas_konce_lhuty:string>>>>"
+    "historie_lhut array<struct<zaznamy:array<struct<druh_lhuty:string,datum_a_cas_konce_lhuty:string>>>>"
 )
-REGISTRY_EXPORT = f"data:array<struct<{REGISTRY_RECORD}>>"
+REGISTRY_EXPORT = f"data array<struct<{REGISTRY_RECORD}>>"
 
 CONTRACT_RECORD = (
-    "identifikator:struct<idSmlouvy:string,idVerze:string>,odkaz:string,platnyZaznam:string,"
-    "smlouva:struct<subjekt:struct<ico:string>,smluvniStrana:array<struct<ico:string,nazev:string>>,"
+    "identifikator struct<idSmlouvy:string,idVerze:string>,odkaz string,platnyZaznam string,"
+    "smlouva struct<subjekt:struct<ico:string>,smluvniStrana:array<struct<ico:string,nazev:string>>,"
     "predmet:string,datumUzavreni:string,hodnotaBezDph:string,navazanyZaznam:string>"
 )
 _BIDDER_XML = "struct<nazev_subjektu:string,ico:string,nabidkova_cena_bez_dph:string,ucastnik_vyloucen:string>"
 PROFILE_RECORD = (
-    "id_objektu:string,id_nipez:string,nazev_vz:string,rezim_vz:string,hlavni_cpv:string,"
-    "casti_vz:struct<cast_zakazky:array<struct<hlavni_cpv_casti_vz:string,zadavaci_postup_casti:struct<"
+    "id_objektu string,id_nipez string,nazev_vz string,rezim_vz string,hlavni_cpv string,"
+    "casti_vz struct<cast_zakazky:array<struct<hlavni_cpv_casti_vz:string,zadavaci_postup_casti:struct<"
     "stav_zadavaciho_postupu:string,datum_uverejneni:string,"
     "lhuty_zadavaciho_postupu:struct<lhuta:array<struct<druh_lhuty:string,datum_konce_lhuty:string>>>,"
     f"ucastnici:struct<ucastnik:array<{_BIDDER_XML}>>,"
@@ -51,35 +51,35 @@ PROFILE_RECORD = (
     "dokumenty:struct<dokument:array<struct<typ_dokumentu:string,url:string>>>>>>>"
 )
 FEED_ITEM = (
-    "link:string"
+    "link string"
 )
 GAZETTEER = (
-    "name:string,lat:double,lon:double"
+    "name string,lat double,lon double"
 )
 
 TENDER = (
-    "id:string,source:string,ord:long,nen_id:string,title:string,authority:string,authority_ico:string,"
-    "cpv:array<string>,nuts:array<string>,value:double,published:string,deadline:string,url:string,"
-    "place:string,authority_seat:string,authority_profile:string,state:string,site_visit:string,"
-    "clarifications:int,kind:string,"
-    "award:struct<date:string,winner:string,winner_ico:string,price_contracted:double,price_paid:double,registr_url:string>,"
-    "bidders:array<struct<nazev:string,ico:string,cena:double,vyloucen:boolean>>,"
-    "profile_url:string,kw_match:boolean,no_nuts:boolean,no_value:boolean,expired:boolean,dist_km:int,"
-    "loc_unknown:boolean,url_dead:int,link_dead:boolean,auto_expired:date,no_activity:boolean"
+    "id string,source string,ord long,nen_id string,title string,authority string,authority_ico string,"
+    "cpv array<string>,nuts array<string>,value double,published string,deadline string,url string,"
+    "place string,authority_seat string,authority_profile string,state string,site_visit string,"
+    "clarifications int,kind string,"
+    "award struct<date:string,winner:string,winner_ico:string,price_contracted:double,price_paid:double,registr_url:string>,"
+    "bidders array<struct<nazev:string,ico:string,cena:double,vyloucen:boolean>>,"
+    "profile_url string,kw_match boolean,no_nuts boolean,no_value boolean,expired boolean,dist_km int,"
+    "loc_unknown boolean,url_dead int,link_dead boolean,auto_expired date,no_activity boolean"
 )
 CHANGE = (
-    "id:string,date:date,field:string,label:string,old:string,new:string,seq:int"
+    "id string,date date,field string,label string,old string,new string,seq int"
 )
 LINK = (
-    "tender_id:string,contract_id:string,url:string,date:date,price:double,confidence:string"
+    "tender_id string,contract_id string,url string,date date,price double,confidence string"
 )
 AMENDMENT = (
-    "contract_id:string,amendment_id:string,date:string,value:double,url:string,ord:long"
+    "contract_id string,amendment_id string,date string,value double,url string,ord long"
 )
 VERDICT = (
-    "id:string,verdikt:string,duvod:string"
+    "id string,verdikt string,duvod string"
 )
 PREFERENCE = (
-    "kind:string,id:string,ts:long,on:boolean,"
-    "fp:struct<cpv:array<string>,ico:string,toks:array<string>,title:string>"
+    "kind string,id string,ts long,on boolean,"
+    "fp struct<cpv:array<string>,ico:string,toks:array<string>,title:string>"
 )

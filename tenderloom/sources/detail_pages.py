@@ -28,7 +28,7 @@ def mine_detail_html(pages: DataFrame) -> DataFrame:
     rooted = F.concat(F.lit('href="/'), F.col("path"), F.lit('">'))
 
     def after(marker: Column) -> Column:
-        rest = F.substring_index(F.col("html"), marker, -1)
+        rest = F.split_part(F.col("html"), marker, F.lit(2))
         return F.when(F.contains(F.col("html"), marker), tx.first_group(rest, "^([^<]{3,160})</a>"))
 
     digits = F.regexp_replace(F.substring_index(_label(fv.DETAIL_VALUE_LABEL), "Kč", 1), r"\D", "")
