@@ -15,11 +15,12 @@ from catalog.views import TODAY, query, spread_table, table, view
 from tenderloom import Settings
 from tenderloom import fixed_values as fv
 from tenderloom.functions import records as rec
+from tenderloom.functions import text as tx
 from tenderloom.materialize import new_path
 from tenderloom.operators import dashboard as db
 from tenderloom.operators import documents as dc
 from tenderloom.operators import filters as fl
-from tenderloom.schemas import CONTRACT_RECORD, FEED_ITEM, PROFILE_RECORD, REGISTRY_EXPORT, REGISTRY_RECORD
+from tenderloom.schemas import FEED_ITEM, REGISTRY_EXPORT, REGISTRY_RECORD
 from tenderloom.sources import contracts as sc
 from tenderloom.sources import detail_pages as sd
 from tenderloom.sources import feed as sf_
@@ -179,7 +180,7 @@ def derive_published_state_clar(spark, sf):
   CASE WHEN l_linestatus = 'F' OR l_linenumber = 7 THEN 'VZMR' ELSE 'VZ' END AS profile_kind FROM lineitem""")
 def derive_kind(spark, sf):
     regime = F.when(F.col("l_linenumber") == 7, None).otherwise(F.col("vz.rezim_verejne_zakazky"))
-    return _derived(spark, sf, kind=rec.derive_kind(F.col("vz.rezim_verejne_zakazky")), profile_kind=rec.derive_kind_profile(regime))
+    return _derived(spark, sf, kind=rec.derive_kind(F.col("vz.rezim_verejne_zakazky")), profile_kind=rec.derive_kind_profile(tx.fold_text(regime)))
 
 
 _ALL = ("authority", "authority_ico", "value", "published", "deadline", "url", "place", "state", "clarifications", "kind", "winner")
@@ -202,8 +203,8 @@ def url_fallback_chain(spark, sf):
 
 
 # --- XML ---------------------------------------------------------------------
-_PROFILE = f"""named_struct('id_objektu', CASE WHEN l_linenumber <= 2 THEN 'N006/26/V' || l_orderkey ELSE l_orderkey || '-' || l_linenumber END,
-  'id_nipez', CASE WHEN l_linestatus = 'O' THEN 'R' || l_orderkey END, 'nazev_vz', 'Oprava ' || l_partkey,
+_NATIVE = "CASE WHEN l_linenumber <= 2 THEN 'N006/26/V' || (l_orderkey * 10 + l_linenumber) ELSE l_orderkey || '-' || l_linenumber END"
+_PROFILE = f"""named_struct('id_objektu', {_NATIVE}, 'id_nipez', CASE WHEN l_linestatus = 'O' THEN 'R' || l_orderkey END, 'nazev_vz', 'Oprava ' || l_partkey,
   'rezim_vz', CASE l_returnflag WHEN 'A' THEN 'VZ malého rozsahu' WHEN 'N' THEN 'podlimitní' END, 'hlavni_cpv', '45' || l_partkey,
   'casti_vz', named_struct('cast_zakazky', array(named_struct('hlavni_cpv_casti_vz', '00000000', 'zadavaci_postup_casti', named_struct(
     'stav_zadavaciho_postupu', CASE WHEN l_linestatus = 'F' THEN 'Zadáno' END, 'datum_uverejneni', {_DAY} || 'T00:00:00',
@@ -218,12 +219,14 @@ _PROFILE = f"""named_struct('id_objektu', CASE WHEN l_linenumber <= 2 THEN 'N006
 
 
 def _profile_records(spark, sf):
-    xml = spread_table(spark, sf, "lineitem").selectExpr("l_orderkey", "l_linenumber", "CASE WHEN l_linestatus = 'O' THEN 'trutnov' ELSE 'nachod' END AS key", f"{_PROFILE} AS r")
-    text = xml.select("l_orderkey", "l_linenumber", "key", F.to_xml("r", {"rowTag": fv.PROFILE_ROW_TAG}).alias("x"))
-    return text.select("l_orderkey", "l_linenumber", "key", F.from_xml("x", PROFILE_RECORD, {"rowTag": fv.PROFILE_ROW_TAG}).alias("r"))
+    """Profile exports written as XML files per profile and read back."""
+    root = new_path(spark, "profiles")
+    key = F.when(F.col("l_linestatus") == "O", "trutnov").otherwise("nachod")
+    records = spread_table(spark, sf, "lineitem").select(key.alias("key"), F.expr(_PROFILE).alias("r")).select("key", "r.*")
+    records.write.format("xml").option("rowTag", fv.PROFILE_ROW_TAG).option("rootTag", "profil").partitionBy("key").save(root)
+    return sp.read_profile_xml(spark, root)
 
 
-_NATIVE = "CASE WHEN l_linenumber <= 2 THEN 'N006/26/V' || l_orderkey ELSE l_orderkey || '-' || l_linenumber END"
 _P_AWARD = "l_returnflag <> 'R' AND l_linenumber <> 6"
 
 
@@ -231,55 +234,54 @@ _P_AWARD = "l_returnflag <> 'R' AND l_linenumber <> 6"
 SELECT CASE WHEN l_linestatus = 'O' THEN 'rvz:R' || l_orderkey ELSE 'profil:nachod:' || {_NATIVE} END AS id,
   CASE WHEN l_linestatus = 'O' THEN 'Město Trutnov' ELSE 'Město Náchod' END AS authority, 'Oprava ' || l_partkey AS title, '45' || l_partkey AS cpv,
   strftime({_D}, '%Y-%m-%d') AS published, strftime({_D} + l_linenumber, '%Y-%m-%d') || 'T10:00:00' AS deadline,
-  CASE WHEN l_linenumber <= 2 THEN '{fv.PLATFORM_DETAIL_URL}N006-26-V' || l_orderkey
+  CASE WHEN l_linenumber <= 2 THEN '{fv.PLATFORM_DETAIL_URL}N006-26-V' || (l_orderkey * 10 + l_linenumber)
     WHEN l_linestatus = 'O' THEN 'https://zakazky.trutnov.cz/profile_display_2.html' ELSE 'https://nen.nipez.cz/profil/mestonachod' END AS url,
   CASE WHEN l_linestatus = 'F' THEN 'Zadáno' END AS state, CASE WHEN l_returnflag = 'N' THEN 'VZ' ELSE 'VZMR' END AS kind,
   CASE WHEN l_linenumber = 3 THEN NULL ELSE 2 END AS bids, CASE WHEN {_P_AWARD} THEN l_extendedprice END AS price_contracted
 FROM lineitem""")
 def scan_profile_xml(spark, sf):
-    records = _profile_records(spark, sf).select("key", "r.*")
-    t = sp.normalize_profiles(records, sr.profiles_frame(spark))
+    t = sp.normalize_profiles(_profile_records(spark, sf), sr.profiles_frame(spark))
     return t.select("id", "authority", "title", F.array_join("cpv", "|").alias("cpv"), "published", "deadline", "url", "state", "kind",
                     F.when(F.col("bidders").isNotNull(), F.size("bidders")).alias("bids"), "award.price_contracted")
 
 
-@query(f"SELECT l_orderkey, l_linenumber, strftime({_D} + l_linenumber, '%Y-%m-%d') || 'T10:00:00' AS deadline FROM lineitem")
+@query(f"SELECT {_NATIVE} AS native, strftime({_D} + l_linenumber, '%Y-%m-%d') || 'T10:00:00' AS deadline FROM lineitem")
 def derive_deadline_profile(spark, sf):
-    terms = rec._flat(F.transform(F.col("r.casti_vz.cast_zakazky"), lambda c: c["zadavaci_postup_casti"]["lhuty_zadavaciho_postupu"]["lhuta"]))
-    return _profile_records(spark, sf).select("l_orderkey", "l_linenumber", rec.derive_deadline_profile(terms).alias("deadline"))
+    terms = rec._flat(F.transform(F.col("casti_vz.cast_zakazky"), lambda c: c["zadavaci_postup_casti"]["lhuty_zadavaciho_postupu"]["lhuta"]))
+    return _profile_records(spark, sf).select(F.col("id_objektu").alias("native"), rec.derive_deadline_profile(terms).alias("deadline"))
 
 
 def _bidders():
     people = F.flatten(F.filter(
-        F.transform(F.col("r.casti_vz.cast_zakazky"), lambda c: c["zadavaci_postup_casti"]["ucastnici"]["ucastnik"]), lambda a: a.isNotNull()))
+        F.transform(F.col("casti_vz.cast_zakazky"), lambda c: c["zadavaci_postup_casti"]["ucastnici"]["ucastnik"]), lambda a: a.isNotNull()))
     return rec.derive_bidders(people)
 
 
-@query("""
-SELECT l_orderkey, l_linenumber, 'Supplier ' || l_suppkey AS nazev, CAST(l_suppkey AS STRING) AS ico, l_extendedprice AS cena, false AS vyloucen
+@query(f"""
+SELECT {_NATIVE} AS native, 'Supplier ' || l_suppkey AS nazev, CAST(l_suppkey AS STRING) AS ico, l_extendedprice AS cena, false AS vyloucen
 FROM lineitem WHERE l_linenumber <> 3
-UNION ALL SELECT l_orderkey, l_linenumber, 'Other', '', CASE WHEN l_linenumber = 5 THEN NULL ELSE l_quantity END, true FROM lineitem WHERE l_linenumber <> 3""")
+UNION ALL SELECT {_NATIVE}, 'Other', '', CASE WHEN l_linenumber = 5 THEN NULL ELSE l_quantity END, true FROM lineitem WHERE l_linenumber <> 3""")
 def derive_bidders(spark, sf):
-    return _profile_records(spark, sf).select("l_orderkey", "l_linenumber", F.inline(_bidders()))
+    return _profile_records(spark, sf).select(F.col("id_objektu").alias("native"), F.inline(_bidders()))
 
 
-@query("""
+@query(f"""
 SELECT id, count(*) * 2 AS bids, count(*) AS excluded, least(min(l_extendedprice), min(CASE WHEN l_linenumber <> 5 THEN l_quantity END)) AS min_price,
   greatest(max(l_extendedprice), max(CASE WHEN l_linenumber <> 5 THEN l_quantity END)) AS max_price
-FROM (SELECT *, l_orderkey || '-' || l_linenumber AS id FROM lineitem WHERE l_linenumber <> 3) GROUP BY id""")
+FROM (SELECT *, {_NATIVE} AS id FROM lineitem WHERE l_linenumber <> 3) GROUP BY id""")
 def bidder_stats(spark, sf):
-    records = _profile_records(spark, sf).select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id"), _bidders().alias("bidders"))
+    records = _profile_records(spark, sf).select(F.col("id_objektu").alias("id"), _bidders().alias("bidders"))
     return db.bidder_stats(records)
 
 
 @query(f"""
-SELECT l_orderkey, l_linenumber, CASE WHEN {_P_AWARD} THEN strftime({_D}, '%Y-%m-%d') END AS date, CASE WHEN {_P_AWARD} THEN 'Supplier ' || l_suppkey END AS winner,
+SELECT {_NATIVE} AS native, CASE WHEN {_P_AWARD} THEN strftime({_D}, '%Y-%m-%d') END AS date, CASE WHEN {_P_AWARD} THEN 'Supplier ' || l_suppkey END AS winner,
   CASE WHEN {_P_AWARD} THEN l_extendedprice END AS price, CASE WHEN {_P_AWARD} THEN 'https://example.org/s/' || l_orderkey END AS registr_url FROM lineitem""")
 def derive_profile_award(spark, sf):
-    zp = F.get(F.col("r.casti_vz.cast_zakazky"), F.lit(0))["zadavaci_postup_casti"]
+    zp = F.get(F.col("casti_vz.cast_zakazky"), F.lit(0))["zadavaci_postup_casti"]
     award = rec.derive_profile_award(zp["vybrany_dodavatel"], zp["datum_uzavreni_smlouvy"], zp["url_v_registru_smluv"])
-    return _profile_records(spark, sf).select("l_orderkey", "l_linenumber", award.alias("a")).select(
-        "l_orderkey", "l_linenumber", "a.date", "a.winner", F.col("a.price_contracted").alias("price"), "a.registr_url"
+    return _profile_records(spark, sf).select(F.col("id_objektu").alias("native"), award.alias("a")).select(
+        "native", "a.date", "a.winner", F.col("a.price_contracted").alias("price"), "a.registr_url"
     )
 
 
@@ -296,8 +298,9 @@ def scan_contract_xml(spark, sf):
         'predmet', 'věc ' || l_partkey, 'datumUzavreni', {_DAY},
         'hodnotaBezDph', CASE WHEN l_linenumber = 2 THEN 'neuvedeno' ELSE CAST(l_extendedprice AS STRING) END,
         'navazanyZaznam', CASE WHEN l_returnflag = 'R' THEN l_orderkey END) END) AS r""")
-    text = raw.select(F.to_xml("r", {"rowTag": fv.CONTRACT_ROW_TAG}).alias("x"))
-    read = text.select(F.from_xml("x", CONTRACT_RECORD, {"rowTag": fv.CONTRACT_ROW_TAG}).alias("r")).select("r.*")
+    path = new_path(spark, "dump")
+    raw.select("r.*").write.format("xml").option("rowTag", fv.CONTRACT_ROW_TAG).option("rootTag", "dump").save(path)
+    read = sc.read_contract_xml(spark, path)
     return sc.normalize_contracts(read).select(
         "id", "verze", "platny", "ico_zadavatel", F.size("parties").alias("n_parties"), F.get("parties", F.lit(0))["nazev"].alias("first_name"),
         "hodnota", "datum", "parent",

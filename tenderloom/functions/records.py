@@ -186,9 +186,8 @@ def derive_kind(regime: Column) -> Column:
 
 
 def derive_kind_profile(regime: Column) -> Column:
-    """A profile record without a regime counts as small scale."""
-    folded = tx.fold_text(regime)
-    large = F.coalesce((folded != "") & ~folded.contains("maleho rozsahu"), F.lit(False))
+    """A profile record without a (folded) regime counts as small scale."""
+    large = F.coalesce((regime != "") & ~regime.contains("maleho rozsahu"), F.lit(False))
     return F.when(large, "VZ").otherwise("VZMR")
 
 
