@@ -12,6 +12,8 @@ TODAY = "1998-06-01"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
 
+FACTS = ("orders", "lineitem", "events", "documents", "pages")
+
 SQL = {
     # cpv and nuts are '|'-joined here and become arrays on either side
     "tender_v": """
@@ -129,15 +131,16 @@ def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     where the scan has fewer tasks than cores the rows are dealt out first."""
     df = table(spark, sf_dir, name)
     cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    few = name in FACTS and df.rdd.getNumPartitions() < cores
+    return df.repartition(cores) if few else df
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The view as a DataFrame, with arrays and structs in place of joined text."""
     text = SQL[name]
-    frames = {t: table(spark, sf_dir, t) for t in TABLES if "{" + t + "}" in text}
+    frames = {t: spread_table(spark, sf_dir, t) for t in TABLES if "{" + t + "}" in text}
     if name == "prev_v":
-        base = spark.sql(SQL["tender_v"], **{t: table(spark, sf_dir, t) for t in ("orders", "lineitem", "part")})
+        base = spark.sql(SQL["tender_v"], **{t: spread_table(spark, sf_dir, t) for t in ("orders", "lineitem", "part")})
         df = spark.sql(text.replace("FROM tender_v", "FROM {base}"), base=base)
     else:
         df = spark.sql(text, **frames)

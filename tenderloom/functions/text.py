@@ -55,8 +55,8 @@ def fold_text(c: Column | str) -> Column:
     """Compatibility-decompose, drop combining marks, lower-case.
 
     Spark has no Unicode normalisation function, so decomposition and lower-casing are
-    one ``translate`` table computed from the Unicode database. What is still not ASCII
-    afterwards decides, per row, whether marks must be dropped or a character that
+    one ``translate`` table computed from the Unicode database. Plain ASCII rows need only
+    ``lower``; for the others, what is still not ASCII afterwards decides, per row, whether marks must be dropped or a character that
     expands to several replaced.
     """
     text = col(c)
@@ -69,7 +69,8 @@ def fold_text(c: Column | str) -> Column:
         F.transform(F.split(plain, ""), lambda ch: F.coalesce(F.try_element_at(table, ch), ch)), ""
     )
     return (
-        F.when(rest == "", plain)
+        F.when(F.octet_length(text) == F.length(text), F.lower(text))
+        .when(rest == "", plain)
         .when(rest.rlike("[" + "".join(many) + "]"), F.regexp_replace(expanded, r"\p{Mn}+", ""))
         .otherwise(F.regexp_replace(plain, r"\p{Mn}+", ""))
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenderloom.functions import text as tx
@@ -111,16 +111,23 @@ def top_firms(competition: DataFrame, k: int = 10, price: str = "eff_price") ->
     only where the id is missing."""
     won = competition.where(F.coalesce("winner", F.lit("")) != "")
     first_id = tx.blank_to_null(F.get(F.split(F.coalesce("winner_ico", F.lit("")), ";"), F.lit(0)))
-    firms = won.groupBy(F.coalesce(first_id, F.col("winner")).alias("firm")).agg(
-        F.min_by(F.struct("winner", first_id.alias("ico")), F.struct("awarded", "id")).alias("head"),
-        F.count("*").alias("n"),
-        F.sum(F.coalesce(price, F.lit(0.0))).alias("volume"),
+    priced = won.select(
+        F.coalesce(first_id, F.col("winner")).alias("firm"), "winner", first_id.alias("ico"), "awarded", "id",
+        F.coalesce(price, F.lit(0.0)).alias("price"),
     )
-    total = firms.agg(F.sum("volume").alias("t")).scalar()
-    largest = firms.agg(F.max("volume").alias("m")).scalar()
+    # the rollup adds the grand total as one more row of the same aggregation
+    firms = priced.rollup("firm").agg(
+        F.grouping("firm").alias("is_total"),
+        F.min_by(F.struct("winner", "ico"), F.struct("awarded", "id")).alias("head"),
+        F.count("*").alias("n"), F.sum("price").alias("volume"),
+    )
+    top = firms.orderBy(F.desc("is_total"), F.desc("volume"), "firm").limit(k + 1)
+    listed = Window.partitionBy()       # over the k + 1 rows only
+    is_total = F.col("is_total") == 1
+    largest = F.max(F.when(~is_total, F.col("volume"))).over(listed)
     share = F.floor(F.col("volume") / F.nullif(largest, F.lit(0.0)) * 100 + 0.5)
-    top = firms.orderBy(F.desc("volume"), "firm").limit(k)
     return top.select(
         "firm", F.col("head.winner").alias("name"), F.col("head.ico").alias("ico"), "n", "volume",
-        F.greatest(F.lit(2), share.cast("int")).alias("bar_pct"), total.alias("grand_total"),
-    )
+        F.greatest(F.lit(2), share.cast("int")).alias("bar_pct"),
+        F.max(F.when(is_total, F.col("volume"))).over(listed).alias("grand_total"), "is_total",
+    ).where("is_total = 0").drop("is_total")

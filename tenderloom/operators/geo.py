@@ -49,7 +49,6 @@ def gazetteer_match(
         .where(F.size("w") > 0)
         .select(*keys, F.slice("w", F.col("pos"), max_words).alias("ahead"))
         .withColumn("first", F.get("ahead", F.lit(0)))
-        .distinct()
     )
     agrees = F.forall(
         F.arrays_zip(F.slice(F.col("ahead"), F.lit(2), F.col("nwords") - 1).alias("word"), F.col("rest").alias("forms")),
