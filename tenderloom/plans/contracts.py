@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tenderloom.operators import linking as ln
 from tenderloom.settings import Settings
+from tenderloom.sources.order import PERIOD_SHIFT, month_number
 
 
 class LinkResult(NamedTuple):
@@ -26,9 +27,7 @@ def link_contracts(
     a table of their own, so one that precedes its link is attached later."""
     links = ln.link_dumps(competition, dumps, previous, settings)
     # later dumps overwrite an amendment of the same id
-    by_dump = dumps.withColumn(
-        "ord", F.regexp_replace(F.col("dump").cast("string"), "-", "").cast("bigint") * (1 << 40) + F.col("ord")
-    )
+    by_dump = dumps.withColumn("ord", month_number(F.col("dump")) * (1 << PERIOD_SHIFT) + F.col("ord"))
     all_amendments = amendments.unionByName(ln.amendment_rows(by_dump))
     attached = ln.amendment_attach(links, all_amendments, settings)
     specs = ln.watch_specs(tenders, watched, today)

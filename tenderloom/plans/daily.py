@@ -17,6 +17,7 @@ from tenderloom.operators.filters import mark_expired, passes_filters, sector_fi
 from tenderloom.operators.geo import locate, radius_filter, relocate_unknown
 from tenderloom.schemas import TENDER
 from tenderloom.settings import Settings
+from tenderloom.sources.order import SOURCE_SHIFT, scan_order
 from tenderloom.sources.registry import fill_urls
 
 
@@ -36,7 +37,7 @@ def conform(tenders: DataFrame) -> DataFrame:
 def ordered_sources(*sources: DataFrame) -> DataFrame:
     """Union with ``ord`` made unique across sources, earlier sources first."""
     return union_sources(*[
-        s.withColumn("ord", F.lit(i).cast("bigint") * (1 << 60) + F.col("ord")) for i, s in enumerate(sources)
+        s.withColumn("ord", F.lit(i).cast("bigint") * (1 << SOURCE_SHIFT) + F.col("ord")) for i, s in enumerate(sources)
     ])
 
 
@@ -58,9 +59,11 @@ def daily_build(
     placed = radius_filter(merged.drop("dist_km", "loc_unknown"), locate(merged, gazetteer, settings), settings)
     fresh = placed.kept
 
-    carried = sector_filter(ch.carry_forward(previous, fresh, placed.dropped, first.merged_away), settings)
+    # records of earlier runs come after all fresh ones, in the order of their snapshot
+    earlier = previous.withColumn("ord", F.lit(len(sources)).cast("bigint") * (1 << SOURCE_SHIFT) + scan_order())
+    carried = sector_filter(ch.carry_forward(earlier, fresh, placed.dropped, first.merged_away), settings)
     carried = relocate_unknown(carried, gazetteer, settings)
-    both = materialize(ordered_sources(conform(fresh), conform(carried)))
+    both = materialize(union_sources(conform(fresh), conform(carried)))
     result = dedup_cross_source(both, today).kept
     if verification is not None:
         result = ch.verify_stub_merge(result, verification, today)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tenderloom import fixed_values as fv
 from tenderloom.functions import text as tx
 from tenderloom.schemas import CONTRACT_RECORD
+from tenderloom.sources.order import scan_order
 
 
 def read_contract_xml(spark: SparkSession, path: str) -> DataFrame:
@@ -34,5 +35,5 @@ def normalize_contracts(records: DataFrame) -> DataFrame:
         F.trim(body["predmet"]).alias("predmet"), F.trim(body["datumUzavreni"]).alias("datum"),
         F.when(~F.isnan(value), value).alias("hodnota"),
         tx.blank_to_null(body["navazanyZaznam"]).alias("parent"),
-        F.monotonically_increasing_id().alias("ord"),
+        scan_order().alias("ord"),
     )

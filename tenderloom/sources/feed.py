@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from tenderloom import fixed_values as fv
 from tenderloom.functions import text as tx
 from tenderloom.schemas import FEED_ITEM
+from tenderloom.sources.order import scan_order
 
 
 def read_feed(spark: SparkSession, path: str) -> DataFrame:
     items = spark.read.format("xml").schema(FEED_ITEM).option("rowTag", fv.FEED_ROW_TAG).load(path)
-    return items.select(tx.blank_to_null("link").alias("link"), F.monotonically_increasing_id().alias("ord")).where(
+    return items.select(tx.blank_to_null("link").alias("link"), scan_order().alias("ord")).where(
         "link IS NOT NULL"
     )
 

@@ -10,6 +10,7 @@ from tenderloom.functions import records as rec
 from tenderloom.functions import text as tx
 from tenderloom.schemas import REGISTRY_EXPORT
 from tenderloom.settings import Settings
+from tenderloom.sources.order import month_number, scan_order
 
 
 def read_registry(spark: SparkSession, root: str, months: list[str]) -> DataFrame:
@@ -28,13 +29,13 @@ def normalize_registry(records: DataFrame) -> DataFrame:
     higher ``ord``, so they win ties.
     """
     vz = F.col("verejna_zakazka")
-    month = F.regexp_replace(F.col("month").cast("string"), "-", "").try_cast("bigint") if "month" in records.columns else F.lit(0)
+    period = month_number(F.col("month")) if "month" in records.columns else None
     base = records.where(
         (F.coalesce(vz["identifikator_NIPEZ"], F.lit("")) != "")
         & (F.coalesce(vz["nazev_verejne_zakazky"], F.lit("")) != "")
     ).select(
         vz.alias("vz"), F.col("historie_lhut").alias("history"), rec.derive_lots(vz).alias("zps"),
-        (month * (1 << 40) + F.monotonically_increasing_id()).alias("ord"),
+        scan_order(period).alias("ord"),
     )
     vz, zps = F.col("vz"), F.col("zps")
     nen = rec.first_where(

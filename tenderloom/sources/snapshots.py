@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,7 +50,7 @@ def load_snapshot_or_default(
         versions = spark.read.parquet(root)
         if "run_date" not in versions.columns:
             return empty
-    except PySparkException:
+    except (PySparkException, Py4JJavaError):     # absent, or a file that is no Parquet
         return empty
     dates = versions.select(F.col("run_date").cast("date").alias("d"))
     if before:
