@@ -149,8 +149,7 @@ def changed_recently(spark, sf):
   WINDOW w AS (PARTITION BY id, field ORDER BY date, seq))
 SELECT id, field, date, old, new, po = new AND pn = old AS reverts FROM seen WHERE rn > 1""")
 def change_flapping(spark, sf):
-    # entries of one day are far fewer than a task can hold
-    return ch.change_flapping(_log(spark, sf), F.date_diff("date", F.lit("2024-01-01").cast("date")))
+    return ch.change_flapping(_log(spark, sf))
 
 
 _DEAD = """last AS (SELECT id, max(run) FILTER (code = 200) AS r FROM probe_v GROUP BY id),

@@ -60,8 +60,8 @@ def changed_recently(log: DataFrame, today, days: int = fv.CHANGED_RECENTLY_DAYS
 
 
 def change_flapping(log: DataFrame, block: Column | None = None) -> DataFrame:
-    """Entries that undo the previous entry of the same id and field."""
-    block = F.floor(F.date_diff("date", F.lit("1970-01-01").cast("date")) / 365) if block is None else block
+    """Entries that undo the previous entry of the same id and field, in (date, seq) order."""
+    block = F.struct("date", block_of("seq")) if block is None else block
     packed = log.withColumn("entry", F.struct("old", "new"))
     seen = blocked_lag(packed, ["id", "field"], ["date", "seq"], block, "entry", "before")
     return seen.where("before IS NOT NULL").select(
