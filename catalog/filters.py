@@ -118,9 +118,6 @@ def lww_preference_merge(spark, sf):
     return merged.select("kind", "id", "ts", F.col("on").alias("is_on"))
 
 
-_TOKENS = "list_filter(string_split(title, ' '), lambda w: length(w) >= 3)"
-# titles of the test data have two words from a small set: every word is common, so the
-# relevance queries take the words of title and buyer's profile that are rare enough
 MODEL_SQL = f"""
 base AS (SELECT id, coalesce(authority_ico, '') AS ico, title, {_CODES} AS codes FROM tender_v),
 words AS (SELECT id, unnest(list_distinct(list_filter(string_split(title, ' '), lambda w: length(w) >= 4))) AS token FROM tender_v),
