@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenderloom.llm import decontaminate
+from tenderloom.llm import decontaminate, packing, quality_rank
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -54,3 +54,24 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@_query
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole document packed by its words; a row per piece."""
+    counted = packing.count_words(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return packing.pack_documents(counted, F.col("n_words"))
+
+
+def _fold(doc_id: str, n: int):
+    return F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(n))
+
+
+@_query
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of every whole document, learnt from the rows that are not held out."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").where(_fold("doc_id", 3) != 1)
+    model = quality_rank.fit(docs, labels)
+    scored = quality_rank.score(docs, model, keep=False)
+    return scored.select("doc_id", (_fold("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
