@@ -75,7 +75,7 @@ def pack(sizes: Sequence[int], lengths: Sequence[int] = LENGTHS,
 
 
 def pack_documents(docs: DataFrame, length: Column, *, doc_id: str = "doc_id", lengths: Sequence[int] = LENGTHS,
-                   block_pieces: int = BLOCK_PIECES, partitions: int | None = None) -> DataFrame:
+                   block_pieces: int = BLOCK_PIECES) -> DataFrame:
     """One row per piece: doc_id, piece (number in its document), start (token in the document),
     n_tokens, bin_id, bin_offset, bin_tokens, bin_length."""
     top = max(lengths)
@@ -85,7 +85,7 @@ def pack_documents(docs: DataFrame, length: Column, *, doc_id: str = "doc_id", l
         .alias("piece", "start"), "n",
     ).select("doc_id", F.col("piece").cast("long").alias("piece"), "start",
              F.least(F.col("n") - F.col("start"), F.lit(top)).alias("n_tokens"))
-    dealt = pieces.repartition(partitions) if partitions else pieces.repartition()
+    dealt = pieces.hint("rebalance")                          # evenly, in partitions of the advised size
     schema = T.StructType([*dealt.schema.fields, *(T.StructField(n, T.LongType()) for n in (
         "bin_id", "bin_offset", "bin_tokens", "bin_length"))])
     names = schema.fieldNames()
