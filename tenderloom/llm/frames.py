@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tenderloom.materialize import shared_dir
@@ -53,3 +54,31 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def rows_of_texts(df: DataFrame, column: str, carry: list[str], fields: list[T.StructField],
+                  fn: Callable[[pa.RecordBatch, pa.Array], Iterator[tuple[pa.Array, list[pa.Array]]]]) -> DataFrame:
+    """Any number of rows per text. ``fn`` gets the batch and its texts, and yields the batch rows
+    that its rows belong to, with one array per field; the columns in ``carry`` are repeated."""
+    source = "_text_in"
+    others = [c for c in df.columns if c != column]
+    frame = df.select(*[df[f"`{c}`"] for c in others], df[f"`{column}`"].cast("string").alias(source))
+    schema = T.StructType([frame.schema[c] for c in carry] + fields)
+    names = schema.fieldNames()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, made in fn(batch, batch.column(batch.schema.get_field_index(source))):
+                arrays = [batch.column(batch.schema.get_field_index(c)).take(rows) for c in carry] + made
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
+
+    return frame.mapInArrow(run, schema)
+
+
+def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The documents with ``_key``, a hash of id and text that joins them, and ``_rank``, the id as a
+    number by which documents are earlier or later (null ids come last)."""
+    return without(docs, ["_key", "_rank"]).withColumns({
+        "_key": F.xxhash64(F.col(f"`{doc_id}`"), F.col(f"`{text}`")),
+        "_rank": F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit((1 << 63) - 1)),
+    })

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenderloom.llm import decontaminate, packing, quality_rank
+from tenderloom.llm import decontaminate, line_dedup, packing, quality_rank
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -75,3 +75,9 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = quality_rank.fit(docs, labels)
     scored = quality_rank.score(docs, model, keep=False)
     return scored.select("doc_id", (_fold("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
+
+
+@_query
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of 50 words and more of every whole document that stand earlier in the corpus."""
+    return line_dedup.repeated_runs(_table(spark, sf_dir, "documents").select("doc_id", "text"))
