@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenderloom.llm import decontaminate, line_dedup, packing, quality_rank
+from tenderloom.llm import decontaminate, line_dedup, ngram_join, packing, quality_rank
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -81,3 +81,10 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of 50 words and more of every whole document that stand earlier in the corpus."""
     return line_dedup.repeated_runs(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@_query
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all whole documents that share 85 % of their four-word shingles."""
+    found = ngram_join.similar_components(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_shingles", "component_id")
