@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenderloom.llm import decontaminate, line_dedup, ngram_join, packing, quality_rank
+from tenderloom.llm import decontaminate, line_dedup, line_quality, ngram_join, packing, quality_rank, url_rules
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -88,3 +88,46 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all whole documents that share 85 % of their four-word shingles."""
     found = ngram_join.similar_components(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_shingles", "component_id")
+
+
+@_query(sql=r"""
+WITH w AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM w)),
+dup AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM win) WHERE n > 1),
+rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 3)) AS p FROM dup) GROUP BY doc_id),
+line AS (SELECT doc_id, l, len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) AS n,
+  length(regexp_replace(l, '[\x20\x09-\x0D]+', '', 'g')) AS c, lower(l) AS low
+  FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS l FROM w) WHERE regexp_matches(l, '[^\x20\x09-\x0D]')),
+judged AS (SELECT *, len(regexp_extract_all(l, '[#*$%&|<>~^]')) > 0.3 * n OR len(regexp_extract_all(l, '[!?]{2,}')) > 0.3 * n
+  OR (len(regexp_extract_all(l, '[|»›•]')) >= 3 AND len(regexp_extract_all(l, '[|»›•]')) > 0.2 * n)
+  OR %s AS bad FROM line),
+per AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT l) AS n_dup, count(*) FILTER (bad) AS n_bad,
+  coalesce(sum(c) FILTER (bad), 0) AS c_bad FROM judged GROUP BY doc_id),
+base AS (SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words,
+  CAST(length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
+  CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, CAST(coalesce(per.n_dup, 0) AS BIGINT) AS n_dup_lines,
+  CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(per.n_lines, 0) AS BIGINT) AS n_lines,
+  CAST(coalesce(per.n_bad, 0) AS BIGINT) AS n_removed_lines, CAST(coalesce(per.c_bad, 0) AS BIGINT) AS removed_chars
+  FROM w LEFT JOIN per ON per.doc_id = w.doc_id LEFT JOIN rep ON rep.doc_id = w.doc_id)
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 100 * removed_chars <= 50 * word_chars AS kept FROM base
+""".replace("%s", " OR ".join(f"contains(low, '{p}')" for p in line_quality.BOILERPLATE)))
+def op3_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line-first quality rules over every whole document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_quality.judge_lines(docs, keep_clean=False).drop("text")
+
+
+#: host, path, verdict
+URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
+             ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+
+
+@_query
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on every page's URL, with the blocks of its aliases."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    rules = spark.sql("SELECT * FROM VALUES " + ", ".join(map(str, URL_RULES)) + " AS t(host, path, verdict)")
+    return url_rules.judge_urls(pages.drop("html"), rules, url_rules.page_links(pages)).select(
+        "page_id", "host", "path", "rule", "verdict")
