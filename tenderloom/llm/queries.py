@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenderloom.llm import decontaminate, line_dedup, line_quality, ngram_join, packing, quality_rank, url_rules
+from tenderloom.llm import (
+    decontaminate, licence_digest, line_dedup, line_quality, main_text, ngram_join, packing, quality_rank, toxicity, url_rules,
+)
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -131,3 +133,26 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.sql("SELECT * FROM VALUES " + ", ".join(map(str, URL_RULES)) + " AS t(host, path, verdict)")
     return url_rules.judge_urls(pages.drop("html"), rules, url_rules.page_links(pages)).select(
         "page_id", "host", "path", "rule", "verdict")
+
+
+@_query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of every whole document, learnt from the rows that are not held out."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").where(_fold("doc_id", 5) != 0)
+    model = toxicity.fit(docs, labels)
+    scored = toxicity.score(docs, model, keep=False)
+    return scored.select("doc_id", (_fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
+@_query
+def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every whole page."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return main_text.extract_text(pages).select("page_id", "url", "text", "n_chars")
+
+
+@_query
+def op8_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole document, and each line of it, that is a known licence text or notice."""
+    return licence_digest.scan_licences(_table(spark, sf_dir, "documents").select("doc_id", "text"))
