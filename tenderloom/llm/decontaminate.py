@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tenderloom.llm import frames
-from tenderloom.llm.words import Words, window_mask, windows, word_blocks
+from tenderloom.llm.words import Words, window_mask, windows, without_spans, word_blocks
 
 WINDOW = 10
 #: most bytes of item text that one broadcast holds
@@ -160,15 +160,10 @@ def _cut(column: pa.Array, parts: list[Index]) -> list[pa.Array]:
                 continue
             for row in np.unique(np.searchsorted(block.bounds, np.flatnonzero(hit), "right") - 1):
                 i = todo[block.first_row + row]
-                raw = texts[i].encode()
-                base, kept, last = block.text_starts[row], [], 0
                 a, b = block.bounds[row], block.bounds[row + 1]
+                base = block.text_starts[row]
                 edges = np.flatnonzero(np.diff(np.concatenate(([0], hit[a:b].astype(np.int8), [0])))).reshape(-1, 2)
-                for x, y in edges:
-                    kept.append(raw[last:block.starts[a + x] - base].rstrip(b" "))
-                    last = block.ends[a + y - 1] - base
-                kept.append(raw[last:])
-                texts[i] = b"\n".join(kept).decode()
+                texts[i] = without_spans(texts[i].encode(), block.starts[a:b] - base, block.ends[a:b] - base, edges)
                 n_cut[i] += int(hit[a:b].sum())
                 again.append(i)
         todo = sorted(again)

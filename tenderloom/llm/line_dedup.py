@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tenderloom.llm import frames
-from tenderloom.llm.words import _powers, mix, windows, word_blocks
+from tenderloom.llm.words import _powers, mix, windows, without_spans, word_blocks
 
 STRETCH = 8
 WINDOW = 32
@@ -104,41 +104,53 @@ def _contexts(batch: pa.RecordBatch, column: pa.Array) -> Iterator[tuple[pa.Arra
             yield pa.array(rows), [pa.array(places, pa.int64()), pa.array(left, words), pa.array(right, words)]
 
 
-def _agree(own: np.ndarray, other: list[int]) -> int:
-    n = min(len(own), len(other))
-    wrong = np.flatnonzero(own[:n] != np.asarray(other[:n], np.int32))
-    return int(wrong[0]) if len(wrong) else n
+def _agreement(own: np.ndarray, at: np.ndarray, step: int, stop: np.ndarray, lists: pa.ListArray) -> np.ndarray:
+    """How many words of each list agree with the text's own words from ``at`` on, in steps of 1 or
+    -1, before the text ends at ``stop``."""
+    values, offsets = np.asarray(lists.flatten()), np.asarray(lists.offsets) - lists.offsets[0].as_py()
+    reach = np.arange(CONTEXT)
+    place = at[:, None] + step * reach
+    known = (reach < np.diff(offsets)[:, None]) & ((place < stop[:, None]) if step > 0 else (place >= stop[:, None]))
+    same = np.zeros(known.shape, bool)
+    listed = (offsets[:-1, None] + reach)[known]
+    same[known] = own[place[known]] == values[listed]
+    return np.where(same.all(1), CONTEXT, same.argmin(1))
 
 
-def _repeated(column: pa.Array, matches: list, min_words: int) -> Iterator[tuple]:
+def _repeated(column: pa.Array, matches: pa.ListArray, min_words: int) -> Iterator[tuple]:
     """(row, words of it, block, first word, repeated spans) of every text."""
+    found, counts = matches.flatten(), np.diff(np.asarray(matches.offsets))
+    starts = np.concatenate(([0], np.cumsum(counts)))
     for block in word_blocks(column, "space", lower=False):
-        h = block.hashes().view(np.int64).astype(np.int32)
-        for row in range(len(block)):
-            a, b = int(block.bounds[row]), int(block.bounds[row + 1])
-            marked = np.zeros(b - a + 1, np.int64)
-            for m in matches[block.first_row + row] or ():
-                lo = m["p1"] - _agree(h[a:a + m["p1"]][::-1][:CONTEXT], m["left"])
-                behind = m["p2"] + STRETCH
-                hi = behind + _agree(h[a + behind:b][:CONTEXT], m["right"])
-                if hi - lo >= min_words:
-                    marked[lo] += 1
-                    marked[hi] -= 1
+        n = len(block)
+        lo, hi = starts[block.first_row], starts[block.first_row + n]
+        edges = np.zeros((0, 2), np.int64)
+        if hi > lo:
+            own = block.hashes().view(np.int64).astype(np.int32)
+            part = found.slice(lo, hi - lo)
+            row = np.repeat(np.arange(n), counts[block.first_row:block.first_row + n])
+            begin, end = block.bounds[row], block.bounds[row + 1]
+            p1 = begin + part.field("p1").to_numpy()
+            p2 = begin + part.field("p2").to_numpy() + STRETCH
+            p1 = p1 - _agreement(own, p1 - 1, -1, begin, _field(part, "left"))
+            p2 = p2 + _agreement(own, p2, 1, end, _field(part, "right"))
+            long = p2 - p1 >= min_words
+            marked = np.bincount(p1[long], minlength=len(own) + 1) - np.bincount(p2[long], minlength=len(own) + 1)
             on = (np.cumsum(marked[:-1]) > 0).astype(np.int8)
-            edges = np.flatnonzero(np.diff(np.concatenate(([0], on, [0])))).reshape(-1, 2)
-            yield block.first_row + row, b - a, block, a, edges
+            # a run ends with its text
+            cuts = np.append(on[1:] != on[:-1], True)
+            cuts[block.bounds[1:-1][(block.bounds[1:-1] > 0) & (block.bounds[1:-1] < len(on))] - 1] = True
+            ends = np.flatnonzero(cuts) + 1
+            begins = np.append(0, ends[:-1])
+            edges = np.column_stack((begins, ends))[on[begins] > 0]
+        at = np.searchsorted(edges[:, 0], block.bounds)
+        for i in range(n):
+            yield block.first_row + i, int(block.bounds[i + 1] - block.bounds[i]), block, int(block.bounds[i]), edges[at[i]:at[i + 1]] - block.bounds[i]
 
 
-def _without_spans(text: bytes, starts: np.ndarray, ends: np.ndarray, spans: np.ndarray) -> str:
-    """The text without the words of the spans; what is left on both sides meets at a line end."""
-    kept, last = [], 0
-    for x, y in spans:
-        kept.append(text[last:starts[x]])
-        last = ends[y - 1]
-    kept.append(text[last:])
-    kept = [k.strip(b" \t\r\n") if 0 < i < len(kept) - 1 else
-            k.rstrip(b" \t\r\n") if i == 0 else k.lstrip(b" \t\r\n") for i, k in enumerate(kept)]
-    return b"\n".join(k for k in kept if k).decode()
+def _field(part: pa.StructArray, name: str) -> pa.ListArray:
+    """A list field of a sliced struct array, with the slice applied."""
+    return part.flatten()[part.type.get_field_index(name)]
 
 
 def _matches(docs: DataFrame) -> DataFrame:
@@ -148,9 +160,10 @@ def _matches(docs: DataFrame) -> DataFrame:
     prints = frames.stored(frames.rows_of_texts(
         docs.select("_key", "_rank", "_text"), "_text", ["_key", "_rank"],
         [T.StructField(n, long) for n in ("print", "at", "step")], _fingerprints), "prints")
-    sources = prints.groupBy("print").agg(
+    # stored, so that the rows of a frequent fingerprint can be split when they are joined
+    sources = frames.stored(prints.groupBy("print").agg(
         F.min(F.struct("_rank", "_key", "at")).alias("s"), F.count("*").alias("n"),
-    ).where("n > 1").select("print", F.col("s._key").alias("s_key"), F.col("s.at").alias("s_at"))
+    ).where("n > 1").select("print", F.col("s._key").alias("s_key"), F.col("s.at").alias("s_at")), "sources")
     pairs = prints.join(sources, "print").where("_key != s_key OR at != s_at").select(
         "_key", "s_key", (F.col("at") - F.col("s_at")).alias("shift"), "at", (F.col("at") + F.col("step")).alias("to"))
     in_line = Window.partitionBy("_key", "s_key", "shift").orderBy("at", "to")
@@ -180,6 +193,12 @@ def _with_matches(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return own.join(_matches(slim), "_key", "left").drop("_rank")
 
 
+def _no_nulls(lists: pa.ListArray) -> pa.ListArray:
+    """Null lists as empty ones."""
+    counts = np.where(np.asarray(lists.is_valid()), np.diff(np.asarray(lists.offsets)), 0)
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)), pa.int32()), lists.drop_null().flatten())
+
+
 def repeated_runs(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
                   min_words: int = MIN_WORDS) -> DataFrame:
     """One row per document: doc_id, n_words, n_repeated and the word ranges that have an earlier copy."""
@@ -187,7 +206,7 @@ def repeated_runs(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text"
     spans = T.ArrayType(T.ArrayType(T.LongType()))
 
     def judge(batch: pa.RecordBatch, column: pa.Array) -> Iterator[tuple[pa.Array, list[pa.Array]]]:
-        found = list(_repeated(column, batch.column(batch.schema.get_field_index("_matches")).to_pylist(), min_words))
+        found = list(_repeated(column, _no_nulls(batch.column(batch.schema.get_field_index("_matches"))), min_words))
         yield pa.array([f[0] for f in found], pa.int64()), [
             pa.array([f[1] for f in found], pa.int64()), pa.array([int(np.diff(f[4]).sum()) for f in found], pa.int64()),
             pa.array([f[4].tolist() for f in found], pa.list_(pa.list_(pa.int64())))]
@@ -208,18 +227,18 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.schema.get_field_index(text)
-            column, matches = batch.column(at), batch.column(0).to_pylist()
-            hit = [i for i, m in enumerate(matches) if m]
-            if not hit:
+            column, matches = batch.column(at), batch.column(0)
+            hit = np.flatnonzero(np.asarray(matches.is_valid()))
+            if not len(hit):
                 yield pa.RecordBatch.from_arrays(batch.columns[1:], names=columns)
                 continue
             texts = column.to_pylist()
             keep = np.ones(len(texts), bool)
-            for row, n, block, a, spans in _repeated(column.take(pa.array(hit)), [matches[i] for i in hit], min_words):
+            for row, n, block, a, spans in _repeated(column.take(pa.array(hit)), matches.take(pa.array(hit)), min_words):
                 if len(spans):
                     base = block.text_starts[row - block.first_row]
                     words = slice(a, a + n)
-                    texts[hit[row]] = _without_spans(texts[hit[row]].encode(), block.starts[words] - base, block.ends[words] - base, spans)
+                    texts[hit[row]] = without_spans(texts[hit[row]].encode(), block.starts[words] - base, block.ends[words] - base, spans)
                     keep[hit[row]] = np.diff(spans).sum() < n
             arrays = [pa.array(texts, column.type) if i == at else batch.column(i) for i in range(1, batch.num_columns)]
             yield pa.RecordBatch.from_arrays(arrays, names=columns).filter(pa.array(keep))

@@ -159,3 +159,15 @@ def window_mask(words: Words, k: int) -> np.ndarray:
     """Which of the windows of k words lie inside one text."""
     rows = words.row_of_word
     return rows[:len(rows) - k + 1] == rows[k - 1:] if len(rows) >= k else np.zeros(0, bool)
+
+
+def without_spans(text: bytes, starts: np.ndarray, ends: np.ndarray, spans: np.ndarray) -> str:
+    """The text without the words of the spans; what is left on both sides meets at a line end."""
+    kept, last = [], 0
+    for x, y in spans:
+        kept.append(text[last:starts[x]])
+        last = ends[y - 1]
+    kept.append(text[last:])
+    kept = [k.strip(b" \t\r\n") if 0 < i < len(kept) - 1 else
+            k.rstrip(b" \t\r\n") if i == 0 else k.lstrip(b" \t\r\n") for i, k in enumerate(kept)]
+    return b"\n".join(k for k in kept if k).decode()
