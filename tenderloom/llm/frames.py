@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import sys
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -12,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tenderloom.materialize import shared_dir
+from tenderloom.materialize import materialize
 
 # executors get the functions themselves, so they need no copy of the package
 cloudpickle.register_pickle_by_value(sys.modules["tenderloom"])
@@ -48,12 +47,7 @@ def map_texts(df: DataFrame, column: str, fields: list[T.StructField],
     return frame.mapInArrow(run, schema)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Writes the frame to the shared folder and reads it back: lineage ends there."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+stored = materialize
 
 
 def rows_of_texts(df: DataFrame, column: str, carry: list[str], fields: list[T.StructField],
