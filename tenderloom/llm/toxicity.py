@@ -1,7 +1,7 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling, in numpy.
 
 The input of each word is the sum of a word vector and of the vectors of its character n-grams
-(2 to 5 characters, with marks for the word's ends), all found by hashing, so unseen words and
+(3 and 4 characters, with marks for the word's ends), all found by hashing, so unseen words and
 inflected forms have inputs too. A gated recurrent unit runs over a window of ``WINDOW`` words
 forwards, another one backwards; attention pools their states, and a logistic unit scores the
 pool. Windows overlap by half and cover every whole text; a document has the score of its worst
@@ -36,11 +36,11 @@ STRIDE = 12
 SAMPLE = 1000               # labelled documents of each label
 TRAIN_CHARS = 2500
 EPOCHS = 4
-INPUTS = 16
+INPUTS = 8
 STATES = 8
 WORD_ROWS = 1 << 14
 GRAM_ROWS = 1 << 15
-GRAMS = (2, 3, 4, 5)
+GRAMS = (3, 4)
 SEED = 11
 _SIDE_BY_SIDE = 2048        # windows that run together
 
