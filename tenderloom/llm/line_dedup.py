@@ -3,10 +3,10 @@
 A line here may be a whole paragraph, and repeated passages begin and end inside lines. So lines
 are cut anew at every word: the line hashes are those of the stretches of ``STRETCH`` words that
 begin at each word. Of every ``WINDOW`` consecutive hashes the least is a fingerprint, so that any
-two equal runs of STRETCH + WINDOW - 1 words share one. Each fingerprint's earliest place in the
-corpus is its source, and so is that of the words from one fingerprint to the end of the next.
-Places that overlap at one distance from their source form one match; matches are extended word
-by word both ways beyond their outermost fingerprints; and every run of ``MIN_WORDS`` words or more that has an earlier copy is deleted.
+two equal runs of STRETCH + WINDOW - 1 = 50 words share one. Each fingerprint's earliest place in
+the corpus is its source. Places that overlap at one distance from their source form one match;
+matches are extended word by word both ways; and every run of ``MIN_WORDS`` words or more that has
+an earlier copy is deleted.
 
 Earlier means a smaller doc_id, and within a document an earlier place. A fingerprint is joined
 only with its source, never with its other places, so the rows of the joins grow with the text
@@ -31,13 +31,13 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tenderloom.llm import frames
-from tenderloom.llm.words import _powers, mix, windows, without_spans, word_blocks
+from tenderloom.llm.words import windows, without_spans, word_blocks
 
-STRETCH = 8
-WINDOW = 32
+STRETCH = 32
+WINDOW = 19
 MIN_WORDS = 50
-#: words known on either side of a place; no shared run can go on longer without a fingerprint
-CONTEXT = STRETCH + WINDOW
+#: words known on either side of a place; no shared run goes on longer without another fingerprint
+CONTEXT = 2 * WINDOW
 _POSITION_BITS = 20
 
 
@@ -71,19 +71,8 @@ def _fingerprints(batch: pa.RecordBatch, column: pa.Array) -> Iterator[tuple[pa.
         at = least_positions(hashes, valid, WINDOW)
         if not len(at):
             continue
-        # a fingerprint by itself, and the words from it to the end of the next one of the same text
         row = rows[at]
-        pair = np.flatnonzero(row[1:] == row[:-1])
-        step = at[pair + 1] - at[pair]
-        up, down = _powers(len(h) + 1)
-        sums = np.zeros(len(h) + 1, np.uint64)
-        np.cumsum(h * up[:len(h)], out=sums[1:])
-        longer = mix((sums[at[pair] + step + STRETCH] - sums[at[pair]]) * down[at[pair]] + step.astype(np.uint64))
-        first = np.concatenate((at, at[pair]))
-        row = rows[first]
-        yield pa.array(row + block.first_row), [
-            pa.array(np.concatenate((hashes[at], longer)).view(np.int64)), pa.array(first - block.bounds[row]),
-            pa.array(np.concatenate((np.zeros(len(at), np.int64), step)))]
+        yield pa.array(row + block.first_row), [pa.array(hashes[at].view(np.int64)), pa.array(at - block.bounds[row])]
 
 
 def _contexts(batch: pa.RecordBatch, column: pa.Array) -> Iterator[tuple[pa.Array, list[pa.Array]]]:
@@ -159,18 +148,19 @@ def _matches(docs: DataFrame) -> DataFrame:
     long = T.LongType()
     prints = frames.stored(frames.rows_of_texts(
         docs.select("_key", "_rank", "_text"), "_text", ["_key", "_rank"],
-        [T.StructField(n, long) for n in ("print", "at", "step")], _fingerprints), "prints")
+        [T.StructField(n, long) for n in ("print", "at")], _fingerprints), "prints")
     # stored, so that the rows of a frequent fingerprint can be split when they are joined
     sources = frames.stored(prints.groupBy("print").agg(
         F.min(F.struct("_rank", "_key", "at")).alias("s"), F.count("*").alias("n"),
     ).where("n > 1").select("print", F.col("s._key").alias("s_key"), F.col("s.at").alias("s_at")), "sources")
     pairs = prints.join(sources, "print").where("_key != s_key OR at != s_at").select(
-        "_key", "s_key", (F.col("at") - F.col("s_at")).alias("shift"), "at", (F.col("at") + F.col("step")).alias("to"))
-    in_line = Window.partitionBy("_key", "s_key", "shift").orderBy("at", "to")
-    reached = F.max("to").over(in_line.rowsBetween(Window.unboundedPreceding, -1))
-    runs = pairs.withColumn("start", (reached.isNull() | (F.col("at") > reached)).cast("int")) \
+        "_key", "s_key", (F.col("at") - F.col("s_at")).alias("shift"), "at")
+    # stretches that overlap or touch are one match
+    in_line = Window.partitionBy("_key", "s_key", "shift").orderBy("at")
+    before = F.lag("at").over(in_line)
+    runs = pairs.withColumn("start", (before.isNull() | (F.col("at") > before + STRETCH)).cast("int")) \
         .withColumn("run", F.sum("start").over(in_line.rowsBetween(Window.unboundedPreceding, 0))) \
-        .groupBy("_key", "s_key", "shift", "run").agg(F.min("at").alias("p1"), F.max("to").alias("p2"))
+        .groupBy("_key", "s_key", "shift", "run").agg(F.min("at").alias("p1"), F.max("at").alias("p2"))
     runs = frames.stored(runs.drop("run"), "runs")
     first, last = F.col("p1") - F.col("shift"), F.col("p2") - F.col("shift")
     asked = runs.select("s_key", F.explode(F.array(first, last)).alias("place")) \
