@@ -17,14 +17,14 @@ def _by_customer(spark, sf):
 
 
 # The fold written as the sequence it is: one recursive step per record of an id.
-@query(f""",
+BY_ID_SQL = f""",
 r AS (SELECT 'c' || custkey AS id, row_number() OVER (PARTITION BY custkey ORDER BY ord) AS n, ord, source, state, title,
         deadline, url, published, place, starts_with(source, 'profil:') AS prof, source = 'isvz' AS reg FROM tender_v),
 fold AS (
   SELECT id, n, ord, source, state, title, deadline, url, published, place, prof, reg, CAST(NULL AS STRING) AS profile_url FROM r WHERE n = 1
   UNION ALL
   SELECT f.id, r.n,
-    CASE WHEN r.reg >= f.reg THEN r.ord ELSE f.ord END, CASE WHEN r.reg >= f.reg THEN r.source ELSE f.source END,
+    f.ord, CASE WHEN r.reg >= f.reg THEN r.source ELSE f.source END,
     CASE WHEN r.reg >= f.reg THEN r.state ELSE f.state END, CASE WHEN r.reg >= f.reg THEN r.title ELSE f.title END,
     CASE WHEN r.reg >= f.reg THEN coalesce(r.deadline, f.deadline) ELSE coalesce(f.deadline, r.deadline) END,
     CASE WHEN r.reg >= f.reg THEN coalesce(r.url, f.url) ELSE coalesce(f.url, r.url) END,
@@ -35,18 +35,67 @@ fold AS (
          ELSE coalesce(f.profile_url, CASE WHEN r.prof THEN r.url END) END
   FROM (SELECT *, n + 1 AS next FROM fold) f JOIN r ON r.id = f.id AND r.n = f.next)
 SELECT id, ord, source, title, deadline, url, published, place, profile_url, {EXPIRED_SQL} AS expired
-FROM fold QUALIFY row_number() OVER (PARTITION BY id ORDER BY n DESC) = 1""", "tender_v")
+FROM fold QUALIFY row_number() OVER (PARTITION BY id ORDER BY n DESC) = 1"""
+
+
+@query(BY_ID_SQL, "tender_v")
 def dedup_by_id(spark, sf):
     return dd.dedup_by_id(_by_customer(spark, sf), TODAY).select(
         "id", "ord", "source", "title", "deadline", "url", "published", "place", "profile_url", "expired"
     )
 
 
-@query()
+_RECORD_FIELDS = ("id", "ord", "source", "title", "authority_ico", "deadline", "value", "url", "published", "place", "state",
+                  "site_visit", "cpv_text", "nuts_text", "authority_seat", "profile_url", "expired")
+_FILLED = ("url", "published", "place", "state", "site_visit", "cpv_text", "nuts_text", "authority_seat")
+
+
+def _rank_sql(x: str) -> str:
+    points = [f"2 * CAST({x}.deadline IS NOT NULL AS INT)", f"2 * CAST({x}.value IS NOT NULL AS INT)"] + [
+        f"CAST({x}.{f} IS NOT NULL AS INT)" for f in ("cpv_text", "place", "state", "published", "url", "nuts_text", "site_visit")]
+    return f"2 * ({' + '.join(points)}) + CAST({x}.source = 'isvz' AS INT)"
+
+
+def _agree_sql(a: str, b: str) -> str:
+    return f"((NOT {a}.expired AND NOT {b}.expired) OR coalesce(substr({a}.deadline, 1, 10) = substr({b}.deadline, 1, 10), false))"
+
+
+def _pack_sql(**values: str) -> str:
+    return "{" + ", ".join(f"'{f}': {values[f]}" for f in _RECORD_FIELDS) + "}"
+
+
+# The records of a buyer and title in arrival order; the state of the fold is a list of records.
+CROSS_SQL = f""",
+rec AS (SELECT *, trim(regexp_replace(lower(strip_accents(title)), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) AS nt,
+  {_pack_sql(**{f: f for f in _RECORD_FIELDS} | {'cpv_text': "nullif(cpv_text, '')", 'nuts_text': "nullif(nuts_text, '')",
+     'profile_url': 'CAST(NULL AS STRING)', 'expired': EXPIRED_SQL})} AS e FROM tender_v),
+r AS (SELECT authority_ico AS ico, nt, e, row_number() OVER (PARTITION BY authority_ico, nt ORDER BY ord) AS n
+  FROM rec WHERE trim(authority_ico) <> '' AND nt <> ''),
+fold AS (
+  SELECT ico, nt, n, [e] AS st FROM r WHERE n = 1
+  UNION ALL
+  SELECT ico, nt, n, CASE WHEN k IS NULL THEN list_append(st, e) ELSE list_concat(list_append(st[:k - 1], m), st[k + 1:]) END
+  FROM (SELECT *, {{deadline}} AS m FROM (
+    SELECT *, CASE WHEN wins THEN e ELSE c END AS w, CASE WHEN wins THEN c ELSE e END AS l FROM (
+      SELECT *, st[k] AS c, {_rank_sql('e')} > {_rank_sql('st[k]')} AS wins FROM (
+        SELECT f.ico, f.nt, r.n, f.st, r.e, list_position(list_transform(f.st, lambda c: {_agree_sql('c', 'r.e')}), true) AS k
+        FROM (SELECT *, n + 1 AS next FROM fold) f JOIN r ON r.ico = f.ico AND r.nt = f.nt AND r.n = f.next))))),
+done AS (SELECT unnest(st) AS x FROM fold QUALIFY row_number() OVER (PARTITION BY ico, nt ORDER BY n DESC) = 1
+  UNION ALL SELECT e FROM rec WHERE coalesce(trim(authority_ico), '') = '' OR coalesce(nt, '') = '')
+SELECT x.id, x.ord, x.source, x.title, x.authority_ico, x.deadline, x.value, x.url, x.profile_url, x.expired FROM done"""
+_MERGED = {f: f"w.{f}" for f in _RECORD_FIELDS} | {f: f"coalesce(w.{f}, l.{f})" for f in _FILLED} | {
+    "ord": "c.ord", "deadline": "greatest(w.deadline, l.deadline)", "value": "coalesce(nullif(w.value, 0), nullif(l.value, 0), w.value)",
+    "profile_url": "coalesce(w.profile_url, CASE WHEN starts_with(l.source, 'profil:') THEN l.url END)",
+    "expired": EXPIRED_SQL.replace("deadline", "greatest(w.deadline, l.deadline)").replace("state", "coalesce(w.state, l.state)"),
+}
+CROSS_SQL = CROSS_SQL.replace("{deadline}", _pack_sql(**_MERGED))
+
+
+@query(CROSS_SQL, "tender_v")
 def dedup_cross_source(spark, sf):
     t = fl.mark_expired(view(spark, sf, "tender_v"), TODAY)
     kept = dd.dedup_cross_source(t, TODAY).kept
-    return kept.select("id", "source", "title", "authority_ico", "deadline", "value", "url", "profile_url", "expired")
+    return kept.select("id", "ord", "source", "title", "authority_ico", "deadline", "value", "url", "profile_url", "expired")
 
 
 @query("""
