@@ -11,10 +11,6 @@ from pyspark.sql import functions as F
 
 from tenderloom import fixed_values as fv
 
-# Blocks in which one character may stand for several (ligatures, fractions, ...).
-_EXPANDING_BLOCKS = ((0x00A0, 0x02FF), (0x2000, 0x218F), (0xFB00, 0xFB06))
-
-
 def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -24,58 +20,83 @@ def blank_to_null(c: Column | str) -> Column:
     return F.nullif(F.trim(col(c)), F.lit(""))
 
 
-def _folded(ch: str) -> str:
-    parts = unicodedata.normalize("NFKD", ch)
-    return "".join(x for x in parts if not unicodedata.combining(x)).lower()
-
-
-@lru_cache(maxsize=1)
-def _one_to_one() -> tuple[str, str]:
-    """Characters that fold to exactly one other character, with that character."""
-    pairs = [
-        (chr(i), d)
-        for i in range(0x41, 0x10000)
-        if not 0xD800 <= i <= 0xDFFF and not 0xF900 <= i <= 0xFAFF
-        and len(d := _folded(chr(i))) == 1 and d != chr(i)
-    ]
-    return "".join(p[0] for p in pairs), "".join(p[1] for p in pairs)
-
-
-@lru_cache(maxsize=1)
-def _one_to_many() -> dict[str, str]:
-    return {
-        chr(i): d
-        for lo, hi in _EXPANDING_BLOCKS
-        for i in range(lo, hi + 1)
-        if len(d := _folded(chr(i))) > 1
-    }
+_HANGUL = (0xAC00, 0xD7A3)      # syllables, which decompose by arithmetic
+
+
+def _ranges(points: list[int]) -> str:
+    """Characters as the inside of a regular expression's class."""
+    out: list[list[int]] = []
+    for i in points:
+        if out and i == out[-1][1] + 1:
+            out[-1][1] = i
+        else:
+            out.append([i, i])
+    return "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in out)
+
+
+@lru_cache(maxsize=2)
+def _folding(all_marks: bool) -> tuple[str, str, dict[str, str], str, str]:
+    """Single characters and what they become, expanding characters, and the classes of the
+    expanding ones and of dropped marks: every character of the Unicode database."""
+    source, target, many, dropped = [], [], {}, []
+    for i in (*range(0x41, 0x5B), *range(0x80, 0x110000)):
+        if 0xD800 <= i <= 0xDFFF or _HANGUL[0] <= i <= _HANGUL[1]:
+            continue
+        parts = unicodedata.normalize("NFKD", chr(i))
+        kept = "".join(x for x in parts if not (unicodedata.combining(x) if all_marks else 0x300 <= ord(x) <= 0x36F)).lower()
+        if kept == chr(i):
+            continue
+        if len(kept) == 1:
+            source.append(chr(i))
+            target.append(kept)
+        elif kept:
+            many[chr(i)] = kept
+        else:
+            dropped.append(i)
+    return "".join(source), "".join(target), many, _ranges([ord(c) for c in many]), _ranges(dropped)
+
+
+def _char(code: Column) -> Column:
+    return F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+
+
+def _jamo(syllable: Column) -> Column:
+    """Letters of a Hangul syllable: 19 leading, 21 vowels, and 27 trailing or none."""
+    s = F.ascii(syllable) - _HANGUL[0]
+    last = F.pmod(s, F.lit(28))
+    return F.concat(
+        _char(F.floor(s / 588) + 0x1100), _char(F.floor(F.pmod(s, F.lit(588)) / 28) + 0x1161),
+        F.when(last > 0, _char(last + 0x11A7)).otherwise(""),
+    )
 
 
-def fold_text(c: Column | str) -> Column:
-    """Compatibility-decompose, drop combining marks, lower-case.
-
-    Spark has no Unicode normalisation function, so decomposition and lower-casing are
-    one ``translate`` table computed from the Unicode database. Plain ASCII rows need only
-    ``lower``; for the others, what is still not ASCII afterwards decides, per row, whether marks must be dropped or a character that
-    expands to several replaced.
-    """
+def _fold(c: Column | str, all_marks: bool) -> Column:
+    """Spark has no Unicode normalisation function, so decomposition and lower-casing are one
+    ``translate`` table computed from the Unicode database. Plain ASCII rows need only
+    ``lower``; for the others, what is still not ASCII afterwards decides, per row, whether
+    marks must be dropped or characters that expand to several replaced."""
     text = col(c)
-    source, target = _one_to_one()
-    many = _one_to_many()
+    source, target, many, expanding, marks = _folding(all_marks)
+    syllables = f"\\x{{{_HANGUL[0]:X}}}-\\x{{{_HANGUL[1]:X}}}"
     plain = F.translate(text, source, target)
     rest = F.regexp_replace(plain, r"[\x00-\x7F]+", "")
     table = F.create_map(*[F.lit(x) for kv in many.items() for x in kv])
-    expanded = F.array_join(
-        F.transform(F.split(plain, ""), lambda ch: F.coalesce(F.try_element_at(table, ch), ch)), ""
-    )
+    found = F.array_distinct(F.regexp_extract_all(plain, F.lit(f"[{expanding}{syllables}]"), F.lit(0)))
+    expanded = F.aggregate(found, plain, lambda acc, ch: F.replace(
+        acc, ch, F.when(ch.rlike(f"[{syllables}]"), _jamo(ch)).otherwise(F.try_element_at(table, ch))))
     return (
         F.when(F.octet_length(text) == F.length(text), F.lower(text))
         .when(rest == "", plain)
-        .when(rest.rlike("[" + "".join(many) + "]"), F.regexp_replace(expanded, r"\p{Mn}+", ""))
-        .otherwise(F.regexp_replace(plain, r"\p{Mn}+", ""))
+        .when(rest.rlike(f"[{expanding}{syllables}]"), F.regexp_replace(expanded, f"[{marks}]+", ""))
+        .otherwise(F.regexp_replace(plain, f"[{marks}]+", ""))
     )
 
 
+def fold_text(c: Column | str) -> Column:
+    """Compatibility-decompose, drop combining marks, lower-case."""
+    return _fold(c, True)
+
+
 def norm_geo(c: Column | str) -> Column:
     """Folded text with every other character turned into a space of its own."""
     return F.regexp_replace(fold_text(c), r"[^\p{L}\p{N}]", " ")
@@ -87,8 +108,9 @@ def norm_title(c: Column | str) -> Column:
 
 
 def norm_ascii(c: Column | str) -> Column:
-    """Folded text in which only a-z and 0-9 survive."""
-    return F.trim(F.regexp_replace(fold_text(c), "[^a-z0-9]+", " "))
+    """Text in which only a-z and 0-9 survive; of the marks only U+0300 to U+036F join their
+    letter, all others separate words, as in the browser."""
+    return F.trim(F.regexp_replace(_fold(c, False), "[^a-z0-9]+", " "))
 
 
 def tokens(normalised: Column) -> Column:
@@ -100,6 +122,11 @@ def sig_tokens(c: Column | str) -> Column:
     return F.array_distinct(F.filter(tokens(norm_title(c)), lambda w: F.length(w) > 3))
 
 
+def set_overlap(a: Column | str, b: Column | str) -> Column:
+    """How many distinct elements two arrays share."""
+    return F.size(F.array_intersect(col(a), col(b)))
+
+
 def long_tokens(c: Column | str) -> Column:
     """Distinct ASCII words of at least four characters."""
     return F.array_distinct(F.filter(F.split(norm_ascii(c), " "), lambda w: F.length(w) >= 4))
