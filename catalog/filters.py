@@ -6,7 +6,7 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from catalog.views import TODAY, query, spread_table, table, view
+from catalog.views import TODAY, query, table, view
 from tenderloom import Settings
 from tenderloom.operators import competition as cp
 from tenderloom.operators import dashboard as db
@@ -33,12 +33,12 @@ _POS, _NEG = _kw_sql("text")
 
 @query(f"SELECT doc_id, {_POS} AND NOT {_NEG} AS hit FROM documents")
 def kw_match(spark, sf):
-    return spread_table(spark, sf, "documents").select("doc_id", fl.kw_match("text", WORDS).alias("hit"))
+    return table(spark, sf, "documents").select("doc_id", fl.kw_match("text", WORDS).alias("hit"))
 
 
 @query(f"SELECT doc_id, {_NEG} AS veto FROM documents")
 def kw_negative(spark, sf):
-    return spread_table(spark, sf, "documents").select("doc_id", fl.kw_negative("text", WORDS).alias("veto"))
+    return table(spark, sf, "documents").select("doc_id", fl.kw_negative("text", WORDS).alias("veto"))
 
 
 _TPOS, _TNEG = _kw_sql("coalesce(title, '')")
@@ -56,6 +56,7 @@ REGION_SQL = """
 region_ok AS (SELECT *, len(regions) = 0 AND NOT trusted AS no_nuts FROM {src}
   WHERE len(regions) = 0 OR len(list_filter(regions, lambda n: substr(n, 1, 5) IN ('CZ052','CZ053','CZ020','CZ051','CZ063'))) > 0)"""
 DONE_SQL = "coalesce(regexp_matches(lower(strip_accents(state)), '^(dokoncen|zrusen|ukoncen|zadan)'), false)"
+LIST_SQL = "coalesce(nullif(deadline, ''), '9999'), coalesce(published, ''), ord"
 EXPIRED_SQL = f"(coalesce(substr(deadline, 1, 10) < '{TODAY}', false) OR {DONE_SQL})"
 
 
@@ -177,8 +178,8 @@ def verdict_counts(spark, sf):
 
 
 @query(f""", todo AS (
-  SELECT id, ord FROM tender_v WHERE NOT {EXPIRED_SQL} AND id NOT IN (SELECT id FROM verdict_v) ORDER BY ord LIMIT 300)
-SELECT id, CAST(floor((row_number() OVER (ORDER BY ord) - 1) / 25) AS INT) AS batch FROM todo""", "tender_v", "verdict_v")
+  SELECT * FROM tender_v WHERE NOT {EXPIRED_SQL} AND id NOT IN (SELECT id FROM verdict_v) ORDER BY {LIST_SQL} LIMIT 300)
+SELECT id, CAST(floor((row_number() OVER (ORDER BY {LIST_SQL}) - 1) / 25) AS INT) AS batch FROM todo""", "tender_v", "verdict_v")
 def verdict_worklist(spark, sf):
     t = fl.mark_expired(view(spark, sf, "tender_v"), TODAY)
     return vd.verdict_worklist(t, view(spark, sf, "verdict_v")).select("id", "batch")
@@ -186,7 +187,7 @@ def verdict_worklist(spark, sf):
 
 @query(f""", todo AS (
   SELECT id, ord, row_number() OVER (ORDER BY ord) AS rn FROM (
-   SELECT id, ord FROM tender_v WHERE NOT {EXPIRED_SQL} AND id NOT IN (SELECT id FROM verdict_v) ORDER BY ord LIMIT 300)),
+   SELECT id, ord FROM tender_v WHERE NOT {EXPIRED_SQL} AND id NOT IN (SELECT id FROM verdict_v) ORDER BY {LIST_SQL} LIMIT 300)),
 accepted AS (SELECT t.id, CASE WHEN o.o_totalprice > 250000 THEN 'ano' ELSE 'ne' END AS verdikt, substr(repeat(o.o_orderpriority || ' ', 20), 1, 120) AS duvod
   FROM todo t JOIN orders o ON o.o_orderkey = t.ord WHERE o.o_orderpriority <> '1-URGENT')
 SELECT * FROM accepted UNION ALL

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from catalog.views import TODAY, query, view
 from tenderloom import Settings
 from tenderloom.functions import numbers as nm
+from tenderloom.functions import text as tx
 from tenderloom.operators import competition as cp
+from tenderloom.operators import filters as fl
 from tenderloom.operators import linking as ln
 from tenderloom.schemas import LINK
 
@@ -208,13 +210,11 @@ UNION ALL SELECT 'details', id FROM (SELECT id FROM tender_v WHERE source = 'isv
 UNION ALL SELECT 'changes', id FROM (SELECT id FROM tender_v QUALIFY row_number() OVER (PARTITION BY authority_ico ORDER BY published DESC, ord) <= 2)""",
        "competition_v", "contract_v", "tender_v")
 def top_k(spark, sf):
-    from pyspark.sql import Window
-
     c, t = view(spark, sf, "competition_v"), view(spark, sf, "tender_v")
-    firms = c.orderBy(F.desc("price_contracted"), "id").limit(10).select(F.lit("firms").alias("list"), "id")
-    details = t.where("source = 'isvz'").orderBy("ord").limit(50).select(F.lit("details").alias("list"), "id")
-    newest = F.row_number().over(Window.partitionBy("authority_ico").orderBy(F.desc("published"), "ord"))
-    changes = t.withColumn("n", newest).where("n <= 2").select(F.lit("changes").alias("list"), "id")
+    firms = fl.top_k(c, [F.desc("price_contracted"), F.col("id")], 10).select(F.lit("firms").alias("list"), "id")
+    details = fl.top_k(t.where("source = 'isvz'"), [F.col("ord")], 50).select(F.lit("details").alias("list"), "id")
+    newest = [F.desc("published"), F.col("ord")]
+    changes = fl.top_k(t, newest, 2, ["authority_ico"]).select(F.lit("changes").alias("list"), "id")
     return firms.unionByName(details).unionByName(changes)
 
 
@@ -222,11 +222,9 @@ def top_k(spark, sf):
 SELECT t.id, c.id AS contract_id, len(list_intersect({_SIG.format('t.title')}, {_SIG.format('lower(c.predmet)')})) AS common_words
 FROM competition_v t JOIN contract_v c ON c.id = CAST(t.ord AS STRING) AND c.party_ico = t.winner_ico""", "competition_v", "contract_v")
 def set_overlap(spark, sf):
-    from tenderloom.functions import text as tx
-
     t, c = view(spark, sf, "competition_v"), view(spark, sf, "contract_v")
     pairs = t.select("id", "title", "winner_ico", F.col("ord").cast("string").alias("key")).join(
         c.select(F.col("id").alias("contract_id"), "parties", "predmet"), F.col("key") == F.col("contract_id")
     ).where(F.arrays_overlap(F.array("winner_ico"), F.transform("parties", lambda p: p["ico"])))
-    common = F.size(F.array_intersect(tx.sig_tokens("title"), tx.sig_tokens("predmet"))).cast("bigint")
+    common = tx.set_overlap(tx.sig_tokens("title"), tx.sig_tokens("predmet")).cast("bigint")
     return pairs.select("id", "contract_id", common.alias("common_words"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from catalog.filters import EXPIRED_SQL, REGION_SQL, SECTOR_SQL, WORDS
 from catalog.scalars import _KM, inflect_sql
-from catalog.views import TODAY, query, spread_table, table, view
+from catalog.views import TODAY, query, table, view
 from tenderloom.operators import competition as cp
 from tenderloom.operators import filters as fl
 from tenderloom.operators import geo as ge
@@ -31,7 +31,7 @@ matched AS (SELECT * FROM hit QUALIFY row_number() OVER (PARTITION BY {keys} ORD
 
 @query(f", {GAZ_SQL}, {match_sql('documents', 'text', 'doc_id')} SELECT doc_id, lat, lon, nwords FROM matched", "gazetteer_v")
 def gazetteer_match(spark, sf):
-    docs = spread_table(spark, sf, "documents").select("doc_id", "text")
+    docs = table(spark, sf, "documents").select("doc_id", "text")
     return ge.gazetteer_match(docs, view(spark, sf, "gazetteer_v").selectExpr("name", "double(lat) lat", "double(lon) lon"), ["doc_id"])
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tenderloom.functions import text as tx
 from tenderloom.functions.numbers import effective_growth, effective_price, growth_pct
+from tenderloom.materialize import materialize
 from tenderloom.operators.dedup import union_fresh_over_archive
 from tenderloom.operators.filters import as_date, region_filter, sector_filter
 from tenderloom.operators.geo import locate, radius_filter
@@ -43,7 +44,7 @@ def build_competition(
     tenders: DataFrame, archive: DataFrame | None, gazetteer: DataFrame, today, settings: Settings = Settings()
 ) -> DataFrame:
     """Fresh awards within the radius over the re-filtered archive."""
-    recent = awarded_recently(tenders, today, settings)
+    recent = materialize(awarded_recently(tenders, today, settings), "recent")
     located = radius_filter(recent, locate(recent, gazetteer, settings), settings).kept
     fresh = competition_row(located)
     if archive is None:

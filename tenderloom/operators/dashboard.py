@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tenderloom.functions.numbers import days_to
 from tenderloom.operators.competition import price_between, text_contains, within_distance
-from tenderloom.operators.filters import as_date
+from tenderloom.operators.filters import as_date, list_order
 
 
 def is_new(last_visit: str | None) -> Column:
@@ -92,9 +92,7 @@ def run_metrics(tenders: DataFrame, changes: DataFrame, competition: DataFrame,
 
 def tender_order(tenders: DataFrame) -> DataFrame:
     """Nearest deadline first, then by publication; records without a deadline last."""
-    return tenders.orderBy(
-        F.coalesce(F.nullif("deadline", F.lit("")), F.lit("9999")), F.coalesce("published", F.lit("")), "ord"
-    )
+    return tenders.orderBy(*list_order())
 
 
 def bidder_stats(tenders: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tenderloom import fixed_values as fv
 from tenderloom.functions import text as tx
+from tenderloom.operators.filters import list_order, top_k
 from tenderloom.settings import Settings
 
 
@@ -123,11 +124,12 @@ def doc_claim_unique(found: DataFrame, store: DataFrame, settings: Settings = Se
 
 
 def detail_enrich(tenders: DataFrame, details: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Site visit and clarification count for the first active registry records that have
-    a platform id. details: nen_id, site_visit, clarifications."""
+    """Site visit and clarification count for the first active registry records of the list
+    that have a platform id. details: nen_id, site_visit, clarifications."""
     worklist = tenders.where(
         (F.col("source") == fv.REGISTRY_SOURCE) & ~F.col("expired") & (F.coalesce("nen_id", F.lit("")) != "")
-    ).orderBy("ord").limit(settings.max_details)
+    )
+    worklist = top_k(worklist, list_order(), settings.max_details)
     new = worklist.select("id", "nen_id").join(details, "nen_id").select(
         "id", F.col("site_visit").alias("_visit"), F.col("clarifications").alias("_clar")
     )

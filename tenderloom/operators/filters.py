@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenderloom import fixed_values as fv
@@ -11,6 +11,11 @@ from tenderloom.functions.numbers import deadline_date
 from tenderloom.settings import Settings
 
 
+def list_order() -> list[Column]:
+    """The order of the published list: nearest deadline, then publication, then arrival."""
+    return [F.coalesce(F.nullif("deadline", F.lit("")), F.lit("9999")), F.coalesce("published", F.lit("")), F.col("ord")]
+
+
 def as_date(today) -> Column:
     return today if isinstance(today, Column) else F.lit(str(today)).cast("date")
 
@@ -101,3 +106,11 @@ def mark_expired(tenders: DataFrame, today) -> DataFrame:
 def passes_filters(tenders: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Cheap predicates first; text matching runs on what they leave."""
     return sector_filter(value_filter(region_filter(tenders, settings), settings), settings)
+
+
+def top_k(df: DataFrame, order: list[Column], k: int, per: list[str] | None = None) -> DataFrame:
+    """The first k rows in an order, of the whole table or per key."""
+    if not per:
+        return df.orderBy(*order).limit(k)
+    place = F.row_number().over(Window.partitionBy(*per).orderBy(*order))
+    return df.withColumn("_place", place).where(F.col("_place") <= k).drop("_place")

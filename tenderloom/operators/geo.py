@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tenderloom import fixed_values as fv
 from tenderloom.functions import text as tx
 from tenderloom.functions.geo import haversine_km, inflect_variants
+from tenderloom.materialize import materialize
 from tenderloom.settings import Settings
 
 
@@ -25,7 +26,7 @@ def gazetteer_index(gazetteer: DataFrame, settings: Settings = Settings()) -> Da
     return usable.select(
         F.explode(inflect_variants(F.get("words", F.lit(0)))).alias("first"),
         F.size("words").alias("nwords"),
-        F.transform(F.slice("words", 2, 100), inflect_variants).alias("rest"),
+        F.transform(F.slice("words", F.lit(2), F.size("words")), inflect_variants).alias("rest"),
         "lat", "lon",
         distance_from_center("lat", "lon", settings).alias("dist"),
     )
@@ -33,21 +34,22 @@ def gazetteer_index(gazetteer: DataFrame, settings: Settings = Settings()) -> Da
 
 def gazetteer_match(
     texts: DataFrame, gazetteer: DataFrame, keys: list[str], text: str = "text",
-    settings: Settings = Settings(), max_words: int = 8,
+    settings: Settings = Settings(),
 ) -> DataFrame:
     """Best place named in each text: more words first, then nearest to the centre.
 
     Every token position becomes a short row (the token and the few after it), joined to
-    the place index on the token; whole texts are never shuffled. Names longer than
-    ``max_words`` words do not exist in the gazetteer and would be ignored.
+    the place index on the token; whole texts are never shuffled. As many tokens follow as the
+    longest name of the gazetteer has.
     """
     index = gazetteer_index(gazetteer, settings)
+    longest = index.agg(F.max("nwords")).scalar()
     words = tx.tokens(tx.norm_geo(text))
     positions = (
         texts.select(*keys, words.alias("w"))
         .select(*keys, "w", F.explode(F.sequence(F.lit(1), F.greatest(F.size("w"), F.lit(1)))).alias("pos"))
         .where(F.size("w") > 0)
-        .select(*keys, F.slice("w", F.col("pos"), max_words).alias("ahead"))
+        .select(*keys, F.slice("w", F.col("pos"), longest).alias("ahead"))
         .withColumn("first", F.get("ahead", F.lit(0)))
     )
     agrees = F.forall(
@@ -91,15 +93,20 @@ def locate(tenders: DataFrame, gazetteer: DataFrame, settings: Settings = Settin
         ),
         F.lit(0),
     )
-    from_nuts = tenders.select("id", F.lit(2).alias("prio"), seat.alias("s")).where("s IS NOT NULL").select(
-        "id", "prio", distance_from_center("s.lat", "s.lon", settings).alias("d")
-    )
     lat, lon = profile_coordinates(F.col("source"), settings)
-    from_profile = tenders.select("id", F.lit(5).alias("prio"), lat.alias("lat"), lon.alias("lon")).where(
-        "lat IS NOT NULL"
-    ).select("id", "prio", distance_from_center("lat", "lon", settings).alias("d"))
-    found = from_text.unionByName(from_nuts).unionByName(from_profile)
-    return found.groupBy("id").agg(F.min_by("d", "prio").alias("dist_exact"))
+    # two of the steps are plain columns of the record; the texts come back once
+    before, after = F.col("prio") < 2, F.col("prio") > 2
+    named = from_text.groupBy("id").agg(
+        F.min_by(F.when(before, F.col("d")), F.when(before, F.col("prio"))).alias("_first"),
+        F.min_by(F.when(after, F.col("d")), F.when(after, F.col("prio"))).alias("_later"),
+    )
+    own = tenders.select("id", seat.alias("s"), lat.alias("lat"), lon.alias("lon")).select(
+        "id", distance_from_center("s.lat", "s.lon", settings).alias("_district"),
+        distance_from_center("lat", "lon", settings).alias("_profile"),
+    )
+    return own.join(named, "id", "left").select(
+        "id", F.coalesce("_first", "_district", "_later", "_profile").alias("dist_exact")
+    ).where("dist_exact IS NOT NULL").groupBy("id").agg(F.min("dist_exact").alias("dist_exact"))
 
 
 class RadiusResult(NamedTuple):
@@ -108,6 +115,7 @@ class RadiusResult(NamedTuple):
 
 
 def _split_by_radius(located: DataFrame, settings: Settings) -> RadiusResult:
+    located = materialize(located, "located")          # kept and dropped are parts of one stored frame
     far = F.coalesce(F.col("dist_exact") > settings.radius_km, F.lit(False))
     kept = located.where(~far)
     if not settings.keep_unknown_location:

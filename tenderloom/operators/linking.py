@@ -25,6 +25,12 @@ def _bin(date: Column, days: int) -> Column:
     return F.floor(F.date_diff(date, F.lit(_EPOCH).cast("date")) / days)
 
 
+def _day(c: str) -> Column:
+    """The date in the first ten characters; NULL for anything shorter or unreadable."""
+    text = F.substring(c, 1, 10)
+    return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}$"), text.try_cast("date"))
+
+
 def _present(c: str) -> Column:
     return F.coalesce(F.trim(c) != "", F.lit(False))
 
@@ -43,7 +49,7 @@ def contract_candidates(
         F.col("id").alias("tender_id"),
         F.trim("authority_ico").alias("buyer"),
         F.split("winner_ico", "; ").alias("winners"),
-        F.col("awarded").cast("date").alias("awarded"),
+        _day("awarded").alias("awarded"),
         "price_contracted",
     ).where("awarded IS NOT NULL")
     tenders = tenders.select(
@@ -54,7 +60,7 @@ def contract_candidates(
             _bin(F.date_sub("awarded", before), width), _bin(F.date_add("awarded", after), width)
         )).alias("bin"),
     )
-    signed = F.substring("datum", 1, 10).try_cast("date")
+    signed = _day("datum")
     usable = contracts.where(F.col("platny") & ~_present("parent")).select(
         F.col("id").alias("contract_id"), "verze", "url", signed.alias("signed"), "hodnota", "ord",
         F.col("ico_zadavatel").alias("buyer"),
@@ -115,7 +121,7 @@ def link_upsert(previous: DataFrame, fresh: DataFrame) -> DataFrame:
 def one_contract_per_low_link(links: DataFrame, competition: DataFrame) -> DataFrame:
     """Among 'low' links to one contract keep the closest in price, then in date."""
     tenders = competition.select(
-        F.col("id").alias("tender_id"), "price_contracted", F.col("awarded").cast("date").alias("awarded")
+        F.col("id").alias("tender_id"), "price_contracted", _day("awarded").alias("awarded")
     )
     low = links.where("confidence = 'low'").select("tender_id", "contract_id", "date", "price").join(
         tenders, "tender_id", "left"
@@ -199,7 +205,7 @@ def link_confidence_counts(links: DataFrame) -> DataFrame:
 
 def watch_specs(tenders: DataFrame, watched: DataFrame, today, spec_days: int = 120, window_days: int = 90) -> DataFrame:
     """Watched tenders whose deadline passed at most ``spec_days`` ago, with their search window."""
-    due = F.substring("deadline", 1, 10).try_cast("date")
+    due = _day("deadline")
     return tenders.join(watched.select("id"), "id", "left_semi").select(
         "id", F.col("authority_ico").alias("buyer"), tx.sig_tokens("title").alias("title_tokens"), due.alias("from_date")
     ).where(
@@ -216,7 +222,7 @@ def watched_contract_match(specs: DataFrame, contracts: DataFrame, found: DataFr
         "*",
         F.explode(F.sequence(_bin(F.col("from_date"), width), _bin(F.col("to_date"), width))).alias("bin"),
     )
-    signed = F.substring("datum", 1, 10).try_cast("date")
+    signed = _day("datum")
     supplier = F.coalesce(
         F.get(F.filter(
             "parties", lambda p: (F.coalesce(p["ico"], F.lit("")) != F.col("ico_zadavatel")) & (p["nazev"] != "")
@@ -228,10 +234,13 @@ def watched_contract_match(specs: DataFrame, contracts: DataFrame, found: DataFr
         F.col("ico_zadavatel").alias("buyer"), tx.sig_tokens("predmet").alias("subject_tokens"),
         supplier.alias("supplier"), _bin(signed, width).alias("bin"),
     ).where("signed IS NOT NULL")
-    hits = wanted.join(usable, ["buyer", "bin"]).where(
-        F.col("signed").between(F.col("from_date"), F.col("to_date"))
-        & (F.size(F.array_intersect("title_tokens", "subject_tokens")) * 2 >= F.size("title_tokens"))
-    )
+    # joined on shared words and counted, so that a buyer's contracts without any are never paired
+    key = ["id", "contract_id", "url", "signed", "price", "ord", "supplier"]
+    hits = wanted.withColumn("word", F.explode("title_tokens")).join(
+        usable.withColumn("word", F.explode("subject_tokens")), ["buyer", "bin", "word"]
+    ).where(F.col("signed").between(F.col("from_date"), F.col("to_date"))).groupBy(*key).agg(
+        F.count("*").alias("common"), F.any_value(F.size("title_tokens")).alias("words")
+    ).where("common * 2 >= words")
     best = hits.groupBy("id").agg(
         F.min_by(F.struct("contract_id", "url", F.col("signed").alias("date"), "price", "supplier"),
                  F.struct("ord", "contract_id")).alias("c")

@@ -7,15 +7,16 @@ from pyspark.sql import functions as F
 
 from tenderloom import fixed_values as fv
 from tenderloom.operators.dedup import prune_orphans
+from tenderloom.operators.filters import list_order, top_k
 from tenderloom.settings import Settings
 
 
 def verdict_worklist(tenders: DataFrame, verdicts: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Active tenders without a verdict: the first few hundred, in batches."""
+    """Active tenders without a verdict: the first few hundred of the list, in batches."""
     todo = tenders.where(~F.col("expired")).join(verdicts.select("id"), "id", "left_anti")
-    first = todo.orderBy("ord").limit(settings.max_verdicts)
+    first = top_k(todo, list_order(), settings.max_verdicts)
     # at most max_verdicts rows are numbered
-    place = F.row_number().over(Window.orderBy("ord"))
+    place = F.row_number().over(Window.orderBy(*list_order()))
     return first.withColumn("batch", F.floor((place - 1) / settings.verdict_batch).cast("int"))
 
 

@@ -10,8 +10,9 @@ from tenderloom.functions import text as tx
 
 
 def _label(name: str) -> Column:
-    raw = tx.first_group("html", fv.DETAIL_LABEL_PATTERN % name)
-    return tx.blank_to_null(tx.strip_tags(raw, ""))
+    # a label that comes again replaces the earlier one
+    found = F.regexp_extract_all("html", F.lit(fv.DETAIL_LABEL_PATTERN % name), F.lit(1))
+    return tx.blank_to_null(tx.strip_tags(F.try_element_at(found, F.lit(-1)), ""))
 
 
 def _clean(pattern: str) -> Column:
@@ -24,12 +25,14 @@ def mine_detail_html(pages: DataFrame) -> DataFrame:
     The title is the link of the page to itself; a page without one is skipped. When the
     buyer block is missing the profile's own buyer is used.
     """
-    opening = F.concat(F.lit('href="'), F.col("path"), F.lit('">'))
-    rooted = F.concat(F.lit('href="/'), F.col("path"), F.lit('">'))
-
-    def after(marker: Column) -> Column:
-        rest = F.split_part(F.col("html"), marker, F.lit(2))
-        return F.when(F.contains(F.col("html"), marker), tx.first_group(rest, "^([^<]{3,160})</a>"))
+    # what stands behind each link of the page to itself, in page order; the first that is a title
+    parts = F.split(F.replace("html", F.concat(F.lit('<a href="/'), F.col("path"), F.lit('">')),
+                              F.concat(F.lit('<a href="'), F.col("path"), F.lit('">'))),
+                    F.concat(F.lit('<a href="\\Q'), F.col("path"), F.lit('\\E">')))
+    titles = F.filter(
+        F.transform(F.slice(parts, F.lit(2), F.size(parts)), lambda p: F.regexp_extract(p, "^([^<]{3,160})</a>", 1)),
+        lambda t: t != "",
+    )
 
     digits = F.regexp_replace(F.substring_index(_label(fv.DETAIL_VALUE_LABEL), "Kč", 1), r"\D", "")
     places = F.regexp_extract_all(
@@ -40,7 +43,7 @@ def mine_detail_html(pages: DataFrame) -> DataFrame:
     return pages.select(
         F.concat(source, F.lit(":"), F.coalesce(_label(fv.DETAIL_NUMBER_LABEL), F.col("path"))).alias("id"),
         source.alias("source"),
-        F.coalesce(after(opening), after(rooted)).alias("title"),
+        F.get(titles, F.lit(0)).alias("title"),
         F.coalesce(buyer, F.col("profile_buyer")).alias("authority"),
         F.when(buyer.isNotNull(), _clean(fv.DETAIL_BUYER_ID_PATTERN)).otherwise(F.col("profile_ico")).alias("authority_ico"),
         F.array().cast("array<string>").alias("cpv"), F.array().cast("array<string>").alias("nuts"),
