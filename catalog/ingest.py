@@ -10,8 +10,8 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from catalog.filters import EXPIRED_SQL
-from catalog.views import TODAY, query, spread_table, table, view
+from catalog.filters import EXPIRED_SQL, LIST_SQL
+from catalog.views import TODAY, query, table, view
 from tenderloom import Settings
 from tenderloom import fixed_values as fv
 from tenderloom.functions import records as rec
@@ -88,7 +88,7 @@ _RECORD = f"""named_struct('verejna_zakazka', named_struct(
 
 def _records(spark, sf):
     """(l_orderkey, l_linenumber, nested registry record), read back from JSON text."""
-    lines = spread_table(spark, sf, "lineitem").selectExpr("l_orderkey", "l_linenumber", f"to_json({_RECORD}) AS js")
+    lines = table(spark, sf, "lineitem").selectExpr("l_orderkey", "l_linenumber", f"to_json({_RECORD}) AS js")
     return lines.select("l_orderkey", "l_linenumber", F.from_json("js", REGISTRY_RECORD).alias("r"))
 
 
@@ -189,7 +189,7 @@ _ALL = ("authority", "authority_ico", "value", "published", "deadline", "url", "
 @query("SELECT 'rvz:' || l_orderkey || '-' || l_linenumber AS id, 'Order ' || l_orderkey AS title, "
        + ", ".join(f"{FLAT[n]} AS {n}" for n in _ALL) + " FROM lineitem WHERE l_linenumber <> 7")
 def scan_registry_json(spark, sf):
-    envelope = spread_table(spark, sf, "lineitem").selectExpr(f"to_json(named_struct('data', array({_RECORD}))) AS js")
+    envelope = table(spark, sf, "lineitem").selectExpr(f"to_json(named_struct('data', array({_RECORD}))) AS js")
     read = envelope.select(F.from_json("js", REGISTRY_EXPORT).alias("e")).select(F.inline("e.data"))
     return sr.normalize_registry(read).select("id", "title", *_ALL[:-1], "award.winner")
 
@@ -222,7 +222,7 @@ def _profile_records(spark, sf):
     """Profile exports written as XML files per profile and read back."""
     root = new_path(spark, "profiles")
     key = F.when(F.col("l_linestatus") == "O", "trutnov").otherwise("nachod")
-    records = spread_table(spark, sf, "lineitem").select(key.alias("key"), F.expr(_PROFILE).alias("r")).select("key", "r.*")
+    records = table(spark, sf, "lineitem").select(key.alias("key"), F.expr(_PROFILE).alias("r")).select("key", "r.*")
     records.write.format("xml").option("rowTag", fv.PROFILE_ROW_TAG).option("rootTag", "profil").partitionBy("key").save(root)
     return sp.read_profile_xml(spark, root)
 
@@ -290,7 +290,7 @@ SELECT l_orderkey || '' AS id, l_linenumber || '' AS verze, l_linenumber <> 7 AS
   CASE WHEN l_linenumber = 2 THEN NULL ELSE l_extendedprice END AS hodnota, strftime(CAST(l_shipdate AS DATE), '%Y-%m-%d') AS datum,
   CASE WHEN l_returnflag = 'R' THEN l_orderkey || '' END AS parent FROM lineitem WHERE l_linenumber <> 6""")
 def scan_contract_xml(spark, sf):
-    raw = spread_table(spark, sf, "lineitem").selectExpr(f"""named_struct(
+    raw = table(spark, sf, "lineitem").selectExpr(f"""named_struct(
       'identifikator', named_struct('idSmlouvy', l_orderkey, 'idVerze', l_linenumber), 'odkaz', 'https://example.org/c/' || l_orderkey,
       'platnyZaznam', CASE WHEN l_linenumber = 7 THEN 0 ELSE 1 END,
       'smlouva', CASE WHEN l_linenumber = 6 THEN NULL ELSE named_struct('subjekt', named_struct('ico', l_suppkey),
@@ -335,7 +335,7 @@ FROM orders WHERE o_orderpriority <> '4-NOT SPECIFIED'""")
 def mine_detail_html(spark, sf):
     pages = table(spark, sf, "orders").selectExpr(
         "'x' AS key", "'https://example.org/c' || o_orderkey || '.html' AS url", "'c' || o_orderkey || '.html' AS path", "'Profil' AS profile_buyer", "'99' AS profile_ico",
-        """'<div>' || CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN '' ELSE '<a href="/c' || o_orderkey || '.html">Zakázka ' || o_orderkey || '</a>' END
+        """'<div>' || CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN '' ELSE '<a href="c' || o_orderkey || '.html"><img></a><a href="/c' || o_orderkey || '.html">Zakázka ' || o_orderkey || '</a>' END
         || CASE WHEN o_orderstatus = 'P' THEN '' ELSE 'Systémové číslo: <b>P' || o_orderkey || '</b>' END
         || CASE WHEN o_orderpriority = '5-LOW' THEN '' ELSE '<th>Předpokládaná hodnota</th> <td class="v"> <b>' || replace(format_number(floor(o_totalprice), 0), ',', ' ') || ' Kč bez DPH</b></td>' END
         || 'Datum zahájení: <b>' || date_format(o_orderdate, 'dd.MM.yyyy') || '</b> Nabídku podat do: <b><i>' || date_format(date_add(CAST(o_orderdate AS DATE), 30), 'dd.MM.yyyy') || ' 10:30</i></b>'
@@ -355,7 +355,7 @@ _JOIN_URL = """CASE WHEN starts_with(href, '/') THEN regexp_extract(url, '^([a-z
 
 @query(f"WITH {LINKS_SQL} SELECT url, pos, href, anchor FROM links")
 def page_links(spark, sf):
-    return dc.page_links(spread_table(spark, sf, "pages"))
+    return dc.page_links(table(spark, sf, "pages"))
 
 
 @query(f"""WITH {LINKS_SQL}
@@ -363,7 +363,19 @@ SELECT url, {_JOIN_URL} AS doc_url FROM (
   SELECT * FROM links WHERE (contains(anchor, 'th') OR contains(anchor, 'auli')) AND NOT contains(anchor, 'vysvetleni'))
 QUALIFY row_number() OVER (PARTITION BY url ORDER BY pos) = 1""")
 def html_strip_links(spark, sf):
-    return dc.html_strip_links(spread_table(spark, sf, "pages"), ("th", "auli"))
+    return dc.html_strip_links(table(spark, sf, "pages"), ("th", "auli"))
+
+
+@query(f"""WITH {LINKS_SQL},
+hit AS (SELECT url, {_JOIN_URL} AS doc_url FROM (
+  SELECT * FROM links WHERE contains(anchor, 'auli') AND NOT contains(anchor, 'vysvetleni'))
+  QUALIFY row_number() OVER (PARTITION BY url ORDER BY pos) = 1),
+sub AS (SELECT url, pos, {_JOIN_URL} AS sub_url FROM links WHERE url NOT IN (SELECT url FROM hit)
+  AND (contains(anchor, 'dokument') OR contains(lower(href), 'dokument')))
+SELECT url, doc_url FROM hit UNION ALL
+SELECT s.url, arg_min(h.doc_url, s.pos) FROM sub s JOIN hit h ON h.url = s.sub_url GROUP BY s.url""")
+def find_doc_link(spark, sf):
+    return dc.find_doc_link(table(spark, sf, "pages"), ("auli",))
 
 
 _DOC_TEXT = """text || '\n\nPředpokládaná hodnota zakázky činí ' || replace(format_number(n_chars * 100, 0), ',', ' ') || ',50 Kč bez DPH\nMísto plnění stavby: ' || source || '  v obci ' || lang || '; dále\nDoba plnění: do ' || n_chars || ' dnů\n'"""
@@ -373,7 +385,7 @@ _DOC_TEXT = """text || '\n\nPředpokládaná hodnota zakázky činí ' || replac
 SELECT doc_id, CASE WHEN n_chars * 100 + 0.5 >= 10000 THEN n_chars * 100 + 0.5 END AS hodnota, source || ' v obci ' || lang AS misto, 'do ' || n_chars || ' dnu' AS termin
 FROM documents""")
 def mine_tender_doc(spark, sf):
-    docs = spread_table(spark, sf, "documents").selectExpr("doc_id", f"{_DOC_TEXT} AS text")
+    docs = table(spark, sf, "documents").selectExpr("doc_id", f"{_DOC_TEXT} AS text")
     return dc.mine_tender_doc(docs).select("doc_id", "hodnota", "misto", "termin")
 
 
@@ -382,7 +394,7 @@ SELECT doc_id, CASE WHEN lang = 'en' THEN 'stavby ' || source || ' s.r.o.' END A
 FROM documents""")
 def mine_award_report(spark, sf):
     report = """text || '\n\nVybraný dodavatel: ' || CASE WHEN lang = 'en' THEN 'Stavby ' || source || ' s.r.o.' ELSE 'nikdo' END || ', se sídlem\nNabídková cena činí ' || n_chars * 100 || ',- Kč\n'"""
-    docs = spread_table(spark, sf, "documents").selectExpr("doc_id", f"{report} AS text")
+    docs = table(spark, sf, "documents").selectExpr("doc_id", f"{report} AS text")
     return dc.mine_award_report(docs).select("doc_id", "vitez", "cena")
 
 
@@ -420,7 +432,7 @@ def doc_claim_unique(spark, sf):
     return dc.doc_claim_unique(found, store)
 
 
-@query(f""", work AS (SELECT id, ord FROM tender_v WHERE source = 'isvz' AND NOT {EXPIRED_SQL} ORDER BY ord LIMIT 50)
+@query(f""", work AS (SELECT id, ord FROM tender_v WHERE source = 'isvz' AND NOT {EXPIRED_SQL} ORDER BY {LIST_SQL} LIMIT 50)
 SELECT t.id, CASE WHEN w.id IS NOT NULL AND t.clarifications > 1 THEN t.published END AS site_visit,
   CASE WHEN w.id IS NOT NULL THEN 9 ELSE t.clarifications END AS clarifications FROM tender_v t LEFT JOIN work w USING (id)""", "tender_v")
 def detail_enrich(spark, sf):

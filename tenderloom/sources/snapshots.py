@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tenderloom import files
 from tenderloom import fixed_values as fv
-from tenderloom.materialize import materialize
 from tenderloom.operators.filters import as_date
 from tenderloom.settings import Settings
 
@@ -44,21 +44,13 @@ def months_to_link(links: DataFrame, has_meta: bool) -> int:
 def load_snapshot_or_default(
     spark: SparkSession, root: str, schema: str, before: str | None = None
 ) -> DataFrame:
-    """Newest version (``run_date=``) under ``root``; empty when missing or unreadable."""
+    """Newest complete version (``run_date=``) under ``root``, of which only that one is read; empty
+    when there is none. A version that cannot be read is an error, not an empty history."""
     empty = spark.createDataFrame([], schema)
-    try:
-        versions = spark.read.parquet(root)
-        if "run_date" not in versions.columns:
-            return empty
-    except (PySparkException, Py4JJavaError):     # absent, or a file that is no Parquet
-        return empty
-    dates = versions.select(F.col("run_date").cast("date").alias("d"))
-    if before:
-        dates = dates.where(F.col("d") < as_date(before))
-    newest = dates.agg(F.max("d")).first()[0]
-    if newest is None:
+    dates = [d for d in files.versions(spark, root, "run_date") if not before or d < str(before)]
+    if not dates:
         return empty
-    found = versions.where(F.col("run_date").cast("date") == F.lit(newest)).drop("run_date")
+    found = spark.read.parquet(f"{root}/run_date={dates[-1]}")
     missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in empty.schema if f.name not in found.columns]
     return found.select("*", *missing).select(*empty.columns)
 
@@ -68,13 +60,23 @@ def guarded_publish(
 ) -> DataFrame:
     """Write a new version unless it has under a fifth of the previous rows.
 
-    The result is computed once, counted and then written to its own ``run_date=`` folder;
-    older versions are never touched. Returns (new_rows, previous_rows).
+    The result is computed once, into a staging folder beside the versions, and counted
+    there. Then it takes its ``run_date=`` name by renaming; a version of the same day
+    steps aside first and is deleted last, so no moment leaves a half written version.
+    Returns (new_rows, previous_rows).
     """
     spark = new.sparkSession
-    new = materialize(new)
-    new_rows, previous_rows = new.count(), previous.count()
+    staging, target = f"{root}/_staging-{uuid.uuid4().hex}", f"{root}/run_date={run_date}"
+    new.write.parquet(staging)
+    new_rows, previous_rows = spark.read.schema(new.schema).parquet(staging).count(), previous.count()
     if previous_rows and new_rows < settings.min_result_ratio * previous_rows:
+        files.delete(spark, staging)
         raise PublishRefused(f"{new_rows} rows against {previous_rows} before")
-    new.write.mode("overwrite").parquet(f"{root}/run_date={run_date}")
+    aside = None
+    if files.exists(spark, target):
+        aside = f"{root}/_replaced-{uuid.uuid4().hex}"
+        files.move(spark, target, aside)
+    files.move(spark, staging, target)
+    if aside:
+        files.delete(spark, aside)
     return spark.createDataFrame([(new_rows, previous_rows)], "new_rows long, previous_rows long")

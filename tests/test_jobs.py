@@ -104,9 +104,16 @@ def test_guard_and_versions(spark, tmp_path):
     ss.guarded_publish(spark.range(20), big, root, TODAY)
     assert ss.load_snapshot_or_default(spark, root, schema).count() == 20
     assert ss.load_snapshot_or_default(spark, root, schema, before=TODAY).count() == 100
-    (tmp_path / "broken").mkdir()
-    (tmp_path / "broken" / "x.parquet").write_text("no parquet")
-    assert ss.load_snapshot_or_default(spark, str(tmp_path / "broken"), schema).count() == 0
+    ss.guarded_publish(spark.range(30), big, root, TODAY)       # the same day again
+    assert ss.load_snapshot_or_default(spark, root, schema).count() == 30
+    assert sorted(p.name for p in (tmp_path / "t").iterdir()) == ["run_date=2026-07-31", f"run_date={TODAY}"]
+    half = tmp_path / "t" / "run_date=2027-01-01"               # a write that never ended
+    half.mkdir()
+    (half / "part-0.parquet").write_text("no parquet")
+    assert ss.load_snapshot_or_default(spark, root, schema).count() == 30
+    (half / "_SUCCESS").write_text("")                          # a broken version is no empty history
+    with pytest.raises(Exception, match="(?i)parquet"):
+        ss.load_snapshot_or_default(spark, root, schema).count()
 
 
 def test_streams_over_several_batches(spark, tmp_path):
@@ -118,6 +125,25 @@ def test_streams_over_several_batches(spark, tmp_path):
     assert {r.id: (r.url_dead, r.link_dead) for r in out.latest().collect()} == {"a": (2, True), "b": (1, False), "c": (0, False)}
 
 
+def test_a_dump_split_over_two_batches_is_judged_whole(spark, tmp_path):
+    """Two contracts within the tolerance make a match 'low', though the batches see one each."""
+    competition = spark.createDataFrame([("t", "1", "9", "2026-01-10", 100.0)],
+                                        "id string, authority_ico string, winner_ico string, awarded string, price_contracted double")
+    schema = ("id string, verze string, url string, platny boolean, ico_zadavatel string, parties array<struct<ico:string,nazev:string>>, "
+              "predmet string, datum string, hodnota double, parent string, ord long, dump int")
+    row = lambda i, price, n, dump: (i, "1", "u", True, "1", [("9", "F")], "p", "2026-01-15", price, None, n, dump)
+    source = str(tmp_path / "in")
+    links = VersionedTable(spark, str(tmp_path / "links"), LINK)
+    waiting = VersionedTable(spark, str(tmp_path / "waiting"), spark.createDataFrame([], schema).schema)
+    for batch in ([row("a", 100.0, 1, 1)], [row("b", 101.0, 2, 1)], [row("c", 500.0, 1, 2)]):
+        spark.createDataFrame(batch, schema).write.mode("append").parquet(source)
+        jobs.contract_link_stream(spark.readStream.schema(schema).parquet(source), competition, links, waiting, str(tmp_path / "cp")).awaitTermination()
+    one, = links.latest().collect()
+    assert (one["contract_id"], one["confidence"]) == ("a", "low")
+    assert [r["id"] for r in waiting.latest().collect()] == ["c"]
+    assert jobs.finish_links(competition, links, waiting).count() == 1
+
+
 def run_daily(spark, sources, previous, gazetteer, log=None, archive=None, today=TODAY, **lookups):
     empty = spark.createDataFrame([], CHANGE)
     return daily_build(sources, previous, empty if log is None else log, archive, gazetteer, sr.profiles_frame(spark), today, **lookups)
