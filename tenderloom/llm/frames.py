@@ -2,20 +2,15 @@
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tenderloom.materialize import materialize
 
-# executors get the functions themselves, so they need no copy of the package
-cloudpickle.register_pickle_by_value(sys.modules["tenderloom"])
-
 
 def without(df: DataFrame, names: list[str]) -> DataFrame:
     """The frame without the columns that an operator is about to write (names compare without case)."""

@@ -20,29 +20,29 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     else:
         moved = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             least.select("u", F.col("m").alias("v")))
-    return moved.where("u != v").distinct()
+    return moved.where("u != v")
 
 
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """(node, component) of every node with an edge; a component is named by its least node.
 
-    Large and small stars take turns until the edges no longer change, which takes about as many
+    Large and small stars take turns until every component is one star, which takes about as many
     rounds as the logarithm of the longest chain. Each round is written to the shared folder, and
-    only two figures of it reach the driver. Edges from a node to itself and null ends are ignored.
+    only whether another one is needed reaches the driver. Edges from a node to itself and null
+    ends are ignored.
     """
     now = frames.stored(
         edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u != v")
         .where(F.col(a).isNotNull() & F.col(b).isNotNull()).distinct(), "edges")
 
-    def figures(df: DataFrame):
-        return df.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
+    def unfinished(df: DataFrame) -> bool:
+        """Whether a node has two edges to smaller ones, or one and is itself the smaller end of another."""
+        ends = df.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+            df.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+        per_node = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+        return not per_node.where("up > 1 OR (up = 1 AND down = 1)").isEmpty()
 
-    before = figures(now)
-    while before["n"]:
-        now = frames.stored(_star(_star(now, True), False), "edges")
-        after = figures(now)
-        if after == before:
-            break
-        before = after
+    while unfinished(now):
+        now = frames.stored(_star(_star(now, True), False).distinct(), "edges")
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
