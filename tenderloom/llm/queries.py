@@ -85,7 +85,20 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.repeated_runs(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-@_query
+@_query(sql=r"""
+WITH RECURSIVE word AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+shingle AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+  ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS g FROM word),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+pair AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM shingle a JOIN shingle b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS (SELECT x, y FROM pair JOIN size nx ON nx.doc_id = x JOIN size ny ON ny.doc_id = y WHERE 100 * c >= 85 * (nx.n + ny.n - c)),
+edge AS (SELECT x, y FROM link UNION SELECT y, x FROM link),
+reach AS (SELECT x AS doc_id, x AS m FROM edge UNION SELECT edge.y, reach.m FROM reach JOIN edge ON edge.x = reach.doc_id),
+least AS (SELECT doc_id, min(m) AS m FROM reach GROUP BY doc_id)
+SELECT w.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, coalesce(least.m, w.doc_id) AS component_id
+FROM word w LEFT JOIN size ON size.doc_id = w.doc_id LEFT JOIN least ON least.doc_id = w.doc_id""")
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all whole documents that share 85 % of their four-word shingles."""
     found = ngram_join.similar_components(_table(spark, sf_dir, "documents").select("doc_id", "text"))
