@@ -80,7 +80,7 @@ def canonical(text: Column) -> Column:
     # copyright lines are recognised before punctuation goes
     lines = F.filter(F.split(F.lower(text), "\n"), lambda l: ~l.rlike(
         r"^[\s#*/;%-]*(?:copyright\b|\(c\)|©).*(?:\d{4}|holder|owner|author|<|\(c\)|©)|^[\s#*/;%-]*all rights reserved\.?\s*$"))
-    words = F.array_join(lines, "\n")
+    words = F.regexp_replace(F.array_join(lines, " "), r"\s+", " ")      # spellings may be broken over lines
     pattern = r"\b(?:" + "|".join(a.replace("-", r"\-") for a, _ in sorted(SPELLINGS, key=lambda p: -len(p[0])) if "/" not in a) + r")\b"
     spelt = words
     # most texts hold none of the spellings: one test spares them all replacements
