@@ -159,7 +159,7 @@ def corpus(tmp_path):
         rows.append((i, " ".join(prose(rng.randint(30, 90)))))
     rows += [(100 + i, " ".join(w + "***" for w in prose(60))) for i in range(30)]
     rows += [(200, " ".join(prose(20) + passage + prose(20))), (201, " ".join(prose(10) + passage + prose(30)))]
-    rows += [(300, " ".join(original)), (301, " ".join(original[:24] + ["changed"] + original[25:])), (302, " ".join(original))]
+    rows += [(300, " ".join(original)), (301, " ".join(original[:47] + ["changed"])), (302, " ".join(original))]
     rows += [(400, " ".join(prose(30) + item + prose(5))), (500, None), (501, ""), (502, "two words"), (None, " ".join(prose(70)))]
     n = len(rows)
     pq.write_table(pa.table({"doc_id": pa.array([r[0] for r in rows], pa.int64()), "text": [r[1] for r in rows], "lang": ["en"] * n,
