@@ -155,6 +155,14 @@ def windows(h: np.ndarray, k: int) -> np.ndarray:
     return mix(out + np.uint64(k))
 
 
+def windows_at(h: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
+    """Hash of the k consecutive values from each of these places on."""
+    out = np.zeros(len(at), np.uint64)
+    for i in range(k):
+        out = out * _MULTIPLIERS[0] + (h[at + i] ^ _MULTIPLIERS[1])
+    return mix(out + np.uint64(k))
+
+
 def window_mask(words: Words, k: int) -> np.ndarray:
     """Which of the windows of k words lie inside one text."""
     rows = words.row_of_word

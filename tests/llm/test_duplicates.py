@@ -85,6 +85,26 @@ def test_repeated_passages_are_those_of_brute_force(spark, seed):
     assert line_dedup.repeated_runs(frame(spark, rows).limit(0)).count() == 0
 
 
+def test_a_copy_is_found_behind_partial_ones(spark):
+    rng = random.Random(11)
+    shared = [prose(rng, n) for n in (80, 90, 120)]
+    alone = lambda n: prose(rng, n)
+    join = " ".join
+    rows = [(i, join(alone(20) + shared[0][5 * i:5 * i + 40] + alone(20))) for i in range(9)]       # too short to count
+    rows += [(20, join(alone(9) + shared[0] + alone(9))), (21, join(alone(30) + shared[0] + alone(3)))]
+    rows += [(30, join(alone(9) + shared[1][:60] + alone(9))), (31, join(alone(9) + shared[1] + alone(9))),
+             (32, join(alone(5) + shared[1] + alone(9)))]                                           # stops short of the end
+    rows += [(40, join(alone(9) + shared[2][35:85] + alone(9))), (41, join(shared[2])), (42, join(shared[2]))]
+    want = repeated_by_hand(rows)
+    assert [int(want[r].sum()) for r in rows[9:]] == [0, 80, 0, 60, 90, 0, 50, 120]
+    got = {r["doc_id"]: r for r in line_dedup.repeated_runs(frame(spark, rows)).collect()}
+    assert [got[i]["n_repeated"] for i, _ in rows] == [int(want[r].sum()) for r in rows]
+    left = {r["doc_id"]: r["text"].split() for r in line_dedup.remove_repeats(frame(spark, rows)).collect()}
+    assert left == {i: np.array(t.split())[~want[(i, t)]].tolist() for i, t in rows if not want[(i, t)].all()}
+    with pytest.raises(ValueError):
+        line_dedup.repeated_runs(frame(spark, rows), min_words=49)
+
+
 # --- the join ------------------------------------------------------------------------------------
 def near_copies(seed):
     rng = random.Random(seed)
