@@ -3,11 +3,11 @@
 Of two labelled documents the better one is preferred; the probability of that is the logistic
 function of the difference of their scores, and a score is linear in the features of the text.
 Weights are fitted to random pairs of a bounded sample of labelled rows, on feature differences.
-The threshold is the quantile of the scores that leaves as large a share below it as the labels
-call bad. ``score`` is the logistic function of the distance to it.
+The threshold is the quantile of the scores of all labelled rows that leaves as many of them below
+it as the labels call bad. ``score`` is the logistic function of the distance to it.
 
 Features see nothing but the whole text. They are computed in the tasks; the driver sees only
-the features of the sample: at most ``sample`` documents of each label.
+the features of the sample (at most ``sample`` documents of each label) and counts of scores.
 
 Defined cases: null, empty and blank texts have the features of zero words and get a score like
 any other; without labels of both kinds every score is 0.5; repeated rows are judged alike; other
@@ -30,6 +30,7 @@ from tenderloom.llm.words import Words, mix, window_mask, windows, word_blocks
 SAMPLE = 3000               # labelled documents of each label
 PAIRS = 40_000
 STEPS = 400
+BINS = 1024
 SEED = 7
 
 _SIGNS = {name: np.isin(np.arange(256), np.frombuffer(chars, np.uint8)) for name, chars in {
@@ -149,7 +150,8 @@ def fit_pairs(x: np.ndarray, good: np.ndarray, share_bad: float, *, pairs: int =
 
 def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "quality",
         sample: int = SAMPLE) -> Model:
-    """A model from a bounded sample of the labelled rows, taken by the hash of the id."""
+    """Weights from a bounded sample of the labelled rows, taken by the hash of the id, and the
+    threshold from all of them."""
     known = labels.select(F.col(doc_id).alias("_id"), (F.col(label) > 0).alias("_good")).dropna().distinct()
     shares = {r["_good"]: r["n"] for r in known.groupBy("_good").agg(F.count("*").alias("n")).collect()}
     empty = np.zeros((0, N_FEATURES))
@@ -167,7 +169,37 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
     x = np.array([r["x"] for r in made]).reshape(-1, N_FEATURES)
     good = np.array([r["_good"] for r in made], bool)
     order = np.lexsort((*x.T, good))                        # the same model whatever order the rows came in
-    return fit_pairs(x[order], good[order], shares[False] / (shares[True] + shares[False]))
+    model = fit_pairs(x[order], good[order], shares[False] / (shares[True] + shares[False]))
+    if good.all() or not good.any():
+        return model
+
+    def raw(column: pa.Array) -> list[pa.Array]:
+        return [pa.array(model.raw(_all_features(column)), pa.float64())]
+
+    # every document is scored, so that no text is shuffled
+    every = frames.map_texts(docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")), "_text",
+                             [T.StructField("raw", T.DoubleType())], raw, keep=False)
+    scores = frames.stored(every.join(known, "_id").select("raw", "_good"), "scores")
+    model.threshold = cut(scores, scores.where("NOT _good").count())
+    return model
+
+
+def cut(scores: DataFrame, below: int) -> float:
+    """The middle between the raw scores of rank ``below`` and the next one, from the least up: counted
+    in bins, and again in the bin that the rank falls in, until that bin is one value."""
+    lowest, highest = scores.agg(F.min("raw"), F.max("raw")).first()
+    rank = below - 1
+    while lowest < highest:
+        place = F.floor((F.col("raw") - lowest) / (highest - lowest) * BINS)
+        bins = scores.where(F.col("raw").between(lowest, highest)).groupBy(place.alias("bin")).agg(
+            F.count("*").alias("n"), F.min("raw").alias("lowest"), F.max("raw").alias("highest")).orderBy("bin").collect()
+        for b in bins:
+            if rank < b["n"]:
+                lowest, highest = b["lowest"], b["highest"]
+                break
+            rank -= b["n"]
+    upto, after = scores.agg(F.count_if(F.col("raw") <= lowest), F.min(F.when(F.col("raw") > lowest, F.col("raw")))).first()
+    return lowest if upto > below or after is None else (lowest + after) / 2
 
 
 def score(docs: DataFrame, model: Model, *, text: str = "text", keep: bool = True) -> DataFrame:

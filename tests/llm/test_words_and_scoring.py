@@ -111,6 +111,20 @@ def test_quality_ranking_separates_held_out_rows(spark):
     assert quality_rank.score(docs.limit(0), model).count() == 0
 
 
+def test_quality_threshold_is_that_of_all_labelled_rows(spark):
+    rng = random.Random(4)
+    rows = [(i, t + " " + "".join(rng.choices("abcdefgh", k=20)), q if rng.random() < 0.8 else 1 - q)
+            for i, t, q in junk_and_prose(3, 500)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(900 + i, "not labelled") for i in range(50)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, q) for i, _, q in rows], "doc_id long, quality int")
+    model = quality_rank.fit(docs, labels, sample=15)
+    raw = np.sort([model.raw(quality_rank._all_features(pa.array([t])))[0] for _, t, _ in rows])
+    bad = sum(q == 0 for _, _, q in rows)
+    assert model.threshold == pytest.approx((raw[bad - 1] + raw[bad]) / 2, abs=1e-9)
+    scores = spark.createDataFrame([(float(v),) for v in [2, 1, 1, 5, 1, 9]], "raw double")
+    assert [quality_rank.cut(scores, k) for k in range(1, 7)] == [1, 1, 1.5, 3.5, 7, 9]
+
+
 def test_pair_weights_lower_the_logistic_loss():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(200, 4))
