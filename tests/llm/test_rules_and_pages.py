@@ -195,6 +195,21 @@ def test_pipeline_stages_decide(spark, corpus):
     assert corpus_pipeline.run(spark, sf_dir).count() == len(packed)
 
 
+def test_one_of_each_group_stays_and_rows_without_words_do(spark):
+    rng = random.Random(6)
+    prose = lambda n: ["".join(rng.choices("abcdefgh", k=6)) for _ in range(n)]
+    nameless, twice, plain = prose(60), prose(60), prose(60)
+    rows = [(None, " ".join(nameless + [w])) for w in ("x", "y", "z")]
+    rows += [(5, " ".join(twice)), (5, " ".join(twice + ["x"])), (6, " ".join(twice + ["y"]))]
+    rows += [(None, " ".join(plain)), (8, " ".join(plain + ["x"])), (9, " ".join(plain)), (9, " ".join(plain))]
+    empty = [(None, None, "en"), (None, None, "de"), (None, "", "en"), (None, "", "de"), (7, " \n", "en"), (7, " \n", "de")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows] + [(i, t, lang, "s", 0) for i, t, lang in empty],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    got = [(r["doc_id"], r["text"], r["lang"]) for r in corpus_pipeline.one_of_similar(spark, docs, "").collect()]
+    assert sorted((g for g in got if not (g[1] or "").strip()), key=repr) == sorted(empty, key=repr)
+    assert sorted((g[0] for g in got if (g[1] or "").strip()), key=repr) == [5, 8, None]
+
+
 def test_pipeline_of_an_empty_table(spark, corpus):
     sf_dir, *_ = corpus
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(0)
