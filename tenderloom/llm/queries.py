@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenderloom.llm import (
-    decontaminate, licence_digest, line_dedup, line_quality, main_text, ngram_join, packing, quality_rank, toxicity, url_rules,
+    decontaminate, filter_audit, frames, hard_negatives, licence_digest, line_dedup, line_quality, main_text, ngram_join,
+    packing, quality_rank, toxicity, url_rules,
 )
 
 QUERIES: dict = {}
@@ -169,3 +170,70 @@ def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole document, and each line of it, that is a known licence text or notice."""
     return licence_digest.scan_licences(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@_query(sql=r"""
+WITH doc AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+word AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, min(doc_id) OVER (PARTITION BY t) AS least FROM doc),
+marked AS (SELECT doc_id, part, (CASE WHEN len(w) < 100 THEN 'A' ELSE '' END)
+  || (CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END)
+  || (CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 'C' ELSE '' END)
+  || (CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END)
+  || (CASE WHEN doc_id > least THEN 'E' ELSE '' END) AS fails FROM word),
+known AS (SELECT doc_id, coalesce(max(quality), 0) = 1 AS good, coalesce(max(toxic), 0) = 1 AS toxic FROM labels GROUP BY doc_id),
+tally AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS n_good, count(*) FILTER (toxic) AS n_toxic
+  FROM marked LEFT JOIN known USING (doc_id) GROUP BY part, fails),
+letter AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS l),
+ordered AS (SELECT a.l || b.l || c.l || d.l || e.l AS filter_order FROM letter a, letter b, letter c, letter d, letter e
+  WHERE len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5),
+step AS (SELECT part, fails, n, n_good, n_toxic, filter_order, step, filter_order[step] AS f, contains(fails, filter_order[step]) AS here,
+    regexp_matches(filter_order[1:step - 1], '[' || fails || '0]') AS earlier
+  FROM tally, ordered, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+counted AS (SELECT part, filter_order, step, any_value(f) AS f,
+  sum(CASE WHEN NOT here AND NOT earlier THEN n ELSE 0 END) AS kept, sum(CASE WHEN here AND NOT earlier THEN n ELSE 0 END) AS removed,
+  sum(CASE WHEN here AND earlier THEN n ELSE 0 END) AS redundant, sum(CASE WHEN fails = f THEN n ELSE 0 END) AS unique_fails,
+  sum(CASE WHEN here AND NOT earlier THEN n_good ELSE 0 END) AS good_lost,
+  sum(CASE WHEN here AND NOT earlier THEN n_toxic ELSE 0 END) AS toxic_lost
+  FROM step GROUP BY part, filter_order, step)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+  CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley FROM counted""")
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters over every whole document, in all orders."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang").withColumn("same", filter_audit.digest("text"))
+    rows = frames.stored(filter_audit.measure(docs, keep=False), "measured")
+    rows = filter_audit.later_copies(rows, row_id="doc_id", same="same", name="copy")
+    known = _table(spark, sf_dir, "labels").groupBy("doc_id").agg(
+        (F.max("quality") == 1).alias("good"), (F.max("toxic") == 1).alias("toxic"))
+    return filter_audit.audit(rows.join(known, "doc_id", "left"), {
+        "A": F.col("n_words") < 100,
+        "B": 100 * F.col("n_distinct") < 80 * F.col("n_words"),
+        "C": 100 * F.col("n_capitals") > 10 * F.col("n_points"),
+        "D": F.col("n_symbols") > 0,
+        "E": F.col("copy"),
+    }, part="lang", losses={"good_lost": F.coalesce("good", F.lit(False)), "toxic_lost": F.coalesce("toxic", F.lit(False))})
+
+
+@_query(sql=r"""
+WITH taken AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT a.vec_id AS anchor_id, a.label = r.label AS same, r.vec_id AS other,
+    CAST(list_dot_product(a.v, r.v) AS BIGINT) AS score
+  FROM taken a JOIN taken r ON a.vec_id % 100 = 0 AND r.vec_id <> a.vec_id),
+positive AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT p.anchor_id, p.positive_id,
+  CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.other) AS INTEGER) AS rank,
+  n.other AS negative_id, p.positive_score, n.score AS negative_score
+FROM positive p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+  AND 30 * p.positive_score <= 100 * n.score AND 100 * n.score <= 90 * p.positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.other) <= 10""")
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, against all vectors."""
+    rows = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    taken = hard_negatives.quantise(rows, row_id="vec_id", vector="embedding", label=label, scale=256)
+    return hard_negatives.mine(taken, F.col("id") % 100 == 0).select(
+        "anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
