@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tenderloom.llm import (
     decontaminate, filter_audit, frames, hard_negatives, licence_digest, line_dedup, line_quality, main_text, ngram_join,
-    packing, quality_rank, toxicity, url_rules,
+    packing, pitman_yor, quality_rank, toxicity, url_rules,
 )
 
 QUERIES: dict = {}
@@ -172,6 +172,15 @@ def op8_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licence_digest.scan_licences(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@_query
+def op11_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of every whole document, learnt from the rows that are not held out."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = pitman_yor.score_texts(docs, _fold("doc_id", 7) != 2)
+    return scored.select("doc_id", (_fold("doc_id", 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                         "base_score", "score", "perplexity")
+
+
 @_query(sql=r"""
 WITH doc AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
 word AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, min(doc_id) OVER (PARTITION BY t) AS least FROM doc),
