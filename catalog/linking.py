@@ -38,12 +38,12 @@ def contract_candidates(spark, sf):
 @query(f""", {CAND_SQL}, {BEST_SQL}
 SELECT tender_id, contract_id, url, signed AS date, hodnota AS price, confidence FROM best""", "competition_v", "contract_v")
 def contract_best_match(spark, sf):
-    return ln.contract_best_match(ln.contract_candidates(view(spark, sf, "competition_v"), view(spark, sf, "contract_v")))
+    return ln.contract_matches(view(spark, sf, "competition_v"), view(spark, sf, "contract_v"))
 
 
 def _matches(spark, sf, condition):
     contracts = view(spark, sf, "contract_v").where(condition)
-    return ln.contract_best_match(ln.contract_candidates(view(spark, sf, "competition_v"), contracts))
+    return ln.contract_matches(view(spark, sf, "competition_v"), contracts)
 
 
 _TWO = (_BEST_STEP.format(n="a_", where="WHERE dump < 1998") + "," + _BEST_STEP.format(n="b_", where="WHERE dump >= 1998") + """,

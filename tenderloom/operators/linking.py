@@ -14,6 +14,7 @@ from tenderloom.functions import text as tx
 from tenderloom.materialize import materialize
 from tenderloom.operators.dedup import prune_orphans
 from tenderloom.operators.filters import as_date
+from tenderloom.operators.nearest import nearest_contracts
 from tenderloom.settings import Settings
 
 # Dates are matched through bins as wide as the longest window, so an interval touches
@@ -43,29 +44,38 @@ def contract_candidates(
     Joined on (buyer, supplier, date bin), never on the buyer alone. A pair with several
     common suppliers is kept once, at the first winner both sides share.
     """
-    before, after = settings.contract_days_before, settings.contract_days_after
-    width = before + after + 1
-    tenders = competition.where(_present("authority_ico") & _present("winner_ico")).select(
+    return _pairs(_awarded(competition), _usable(contracts), settings)
+
+
+def _awarded(competition: DataFrame) -> DataFrame:
+    """Tenders with a buyer, winners and an award date."""
+    return competition.where(_present("authority_ico") & _present("winner_ico")).select(
         F.col("id").alias("tender_id"),
         F.trim("authority_ico").alias("buyer"),
-        F.split("winner_ico", "; ").alias("winners"),
+        F.array_distinct(F.filter(F.split("winner_ico", "; "), lambda w: w != "")).alias("winners"),
         _day("awarded").alias("awarded"),
         "price_contracted",
     ).where("awarded IS NOT NULL")
-    tenders = tenders.select(
-        "*", F.explode(F.array_distinct(F.filter("winners", lambda w: w != ""))).alias("supplier")
-    ).select(
+
+
+def _usable(contracts: DataFrame) -> DataFrame:
+    """Valid signed contracts that are no amendments."""
+    return contracts.where(F.col("platny") & ~_present("parent")).select(
+        F.col("id").alias("contract_id"), "verze", "url", _day("datum").alias("signed"), "hodnota", "ord",
+        F.col("ico_zadavatel").alias("buyer"),
+        F.array_distinct(F.filter(F.transform("parties", lambda p: p["ico"]), lambda i: i != "")).alias("parties"),
+    ).where("signed IS NOT NULL")
+
+
+def _pairs(tenders: DataFrame, usable: DataFrame, settings: Settings) -> DataFrame:
+    before, after = settings.contract_days_before, settings.contract_days_after
+    width = before + after + 1
+    tenders = tenders.select("*", F.explode("winners").alias("supplier")).select(
         "*",
         F.explode(F.sequence(
             _bin(F.date_sub("awarded", before), width), _bin(F.date_add("awarded", after), width)
         )).alias("bin"),
     )
-    signed = _day("datum")
-    usable = contracts.where(F.col("platny") & ~_present("parent")).select(
-        F.col("id").alias("contract_id"), "verze", "url", signed.alias("signed"), "hodnota", "ord",
-        F.col("ico_zadavatel").alias("buyer"),
-        F.array_distinct(F.filter(F.transform("parties", lambda p: p["ico"]), lambda i: i != "")).alias("parties"),
-    ).where("signed IS NOT NULL")
     usable = usable.select("*", F.explode("parties").alias("supplier"), _bin(F.col("signed"), width).alias("bin"))
     pairs = tenders.join(usable, ["buyer", "supplier", "bin"]).where(
         F.col("signed").between(F.date_sub("awarded", before), F.date_add("awarded", after))
@@ -76,33 +86,85 @@ def contract_candidates(
     )
 
 
-def contract_best_match(candidates: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """One contract per tender: the only price match is 'high', anything else 'low'."""
-    version = F.struct(F.col("verze").try_cast("bigint"), "verze", -F.col("ord"))
-    newest = candidates.groupBy("tender_id", "contract_id").agg(
-        F.max_by(F.struct("price_contracted", "url", "signed", "hodnota"), version).alias("c"),
+def _version_rank() -> Column:
+    """Versions compare as numbers, then as text; of equal ones the first in the dump is newer."""
+    return F.struct(F.col("verze").try_cast("bigint").alias("n"), F.col("verze").alias("text"), (-F.col("ord")).alias("place"))
+
+
+def _newest(candidates: DataFrame) -> DataFrame:
+    """One row per tender and contract: its newest version, at the place where it was first seen."""
+    return candidates.groupBy("tender_id", "contract_id").agg(
+        F.max_by(F.struct("price_contracted", "url", "signed", "hodnota"), _version_rank()).alias("c"),
         F.min("ord").alias("ord"),
     ).select("tender_id", "contract_id", "c.*", "ord")
+
+
+def _best(newest: DataFrame, settings: Settings) -> DataFrame:
     price = F.col("price_contracted")
     diff = F.when(
         (price != 0) & (F.col("hodnota") != 0),
         F.abs(F.col("hodnota") - price) / F.nullif(price, F.lit(0.0)),
     )
     scored = newest.withColumn("diff", diff)
-    exact = F.coalesce(F.col("diff") <= settings.price_tolerance, F.lit(False))
+    exact = F.when(F.col("diff") <= settings.price_tolerance, F.col("contract_id"))
     # an exact match sorts before the rest because its difference is the smallest
     quality = F.struct(F.col("diff").isNull(), F.coalesce("diff", F.lit(0.0)), "ord", "contract_id")
     best = scored.groupBy("tender_id").agg(
-        F.count_if(exact).alias("n_exact"),
+        F.min(exact).alias("least"), F.max(exact).alias("most"),
         F.min_by(F.struct("contract_id", "url", F.col("signed").alias("date"),
                           F.col("hodnota").alias("price")), quality).alias("best"),
     )
     return best.select(
         "tender_id", "best.*",
-        F.when(F.col("n_exact") == 1, F.lit("high")).otherwise(F.lit("low")).alias("confidence"),
+        F.when(F.col("least") == F.col("most"), F.lit("high")).otherwise(F.lit("low")).alias("confidence"),
     )
 
 
+def contract_best_match(candidates: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """One contract per tender: the only price match is 'high', anything else 'low'."""
+    return _best(_newest(candidates), settings)
+
+
+def contract_matches(competition: DataFrame, contracts: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """``contract_best_match`` of all candidates, also where one buyer and supplier have very many.
+
+    A tender of a pair with at most ``settings.paired_contracts`` contract versions meets them in the
+    join of ``contract_candidates``. Tenders of larger pairs search their contracts by price
+    (``nearest_contracts``). Two kinds of rows of those stay with the join, because nearness does not
+    decide them: tenders with a negative price, and contracts whose versions name different parties,
+    for tenders with several winners.
+    """
+    tenders, usable = _awarded(competition), _usable(contracts)
+    one_each = usable.select("*", F.explode("parties").alias("supplier"))
+    large = one_each.groupBy("buyer", "supplier").agg(F.count("*").alias("n")).where(
+        F.col("n") > settings.paired_contracts).select("buyer", "supplier")
+    asking = tenders.select("tender_id", "buyer", F.explode("winners").alias("supplier")).join(
+        large, ["buyer", "supplier"], "left_semi").select("tender_id").distinct()
+    few = tenders.join(asking, "tender_id", "left_anti")
+    many = tenders.join(asking, "tender_id", "left_semi").select("*", F.explode("winners").alias("supplier"))
+    # contracts of the buyers and suppliers that these tenders name
+    near = one_each.join(many.select("buyer", "supplier").distinct(), ["buyer", "supplier"], "left_semi")
+    parties = F.array_sort("parties")
+    uneven = near.groupBy("buyer", "contract_id").agg(
+        F.min(parties).alias("a"), F.max(parties).alias("b")).where("a != b").select("buyer", "contract_id")
+    negative = F.col("price_contracted") < 0
+    several = F.size("winners") > 1
+    steady = near.join(uneven, ["buyer", "contract_id"], "left_anti")
+    epoch = F.lit(_EPOCH).cast("date")
+    by_price = lambda rows, versions: nearest_contracts(
+        rows.select("tender_id", "buyer", "supplier", F.date_diff("awarded", epoch).alias("day"), "price_contracted"),
+        versions.select("buyer", "supplier", "contract_id", _version_rank().alias("rank"), "url", "signed",
+                        F.date_diff("signed", epoch).alias("day"), "hodnota", "ord"), settings)
+    plain = ~F.coalesce(negative, F.lit(False))
+    found = by_price(many.where(plain & ~several), near).unionByName(by_price(many.where(plain & several), steady))
+    whole = [c for c in usable.columns]
+    left = _pairs(many.where(negative).drop("supplier").distinct(), usable, settings).unionByName(
+        _pairs(many.where(plain & several).drop("supplier").distinct(),
+               usable.join(uneven, ["buyer", "contract_id"], "left_semi").select(*whole), settings))
+    newest = _newest(_pairs(few, usable, settings).unionByName(left))
+    return _best(newest.unionByName(found.select(*newest.columns)), settings)
+
+
 def link_upsert(previous: DataFrame, fresh: DataFrame) -> DataFrame:
     """New links over old ones; a 'high' link is never lowered nor moved to another contract."""
     fields = ("contract_id", "url", "date", "price", "confidence")
@@ -176,7 +238,7 @@ def link_month(
     competition: DataFrame, contracts: DataFrame, previous: DataFrame, settings: Settings = Settings()
 ) -> DataFrame:
     """Fold one month's dump into the links (exact matches and versions are judged per dump)."""
-    fresh = contract_best_match(contract_candidates(competition, contracts, settings), settings)
+    fresh = contract_matches(competition, contracts, settings)
     unique = one_contract_per_low_link(link_upsert(previous, fresh), competition)
     return prune_orphans(
         unique, competition.select(F.col("id").alias("tender_id")), "tender_id"

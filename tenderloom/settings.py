@@ -29,6 +29,8 @@ class Settings:
     contract_days_before: int = fv.CONTRACT_DAYS_BEFORE
     contract_days_after: int = fv.CONTRACT_DAYS_AFTER
     price_tolerance: float = fv.PRICE_TOLERANCE
+    # a buyer and supplier with more contract versions than this are searched by price
+    paired_contracts: int = 1000
     max_amendments: int = fv.MAX_AMENDMENTS
     max_verdicts: int = fv.MAX_VERDICTS_PER_RUN
     verdict_batch: int = fv.VERDICT_BATCH
