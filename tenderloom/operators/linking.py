@@ -134,10 +134,13 @@ def contract_matches(competition: DataFrame, contracts: DataFrame, settings: Set
     decide them: tenders with a negative price, and contracts whose versions name different parties,
     for tenders with several winners.
     """
-    tenders, usable = _awarded(competition), _usable(contracts)
+    usable = materialize(_usable(contracts), "contracts")      # read for the count and for the match
     one_each = usable.select("*", F.explode("parties").alias("supplier"))
     large = one_each.groupBy("buyer", "supplier").agg(F.count("*").alias("n")).where(
         F.col("n") > settings.paired_contracts).select("buyer", "supplier")
+    if large.isEmpty():
+        return _best(_newest(_pairs(_awarded(competition), usable, settings)), settings)
+    tenders = materialize(_awarded(competition), "awards")
     asking = tenders.select("tender_id", "buyer", F.explode("winners").alias("supplier")).join(
         large, ["buyer", "supplier"], "left_semi").select("tender_id").distinct()
     few = tenders.join(asking, "tender_id", "left_anti")
