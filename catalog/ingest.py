@@ -20,7 +20,7 @@ from tenderloom.materialize import new_path
 from tenderloom.operators import dashboard as db
 from tenderloom.operators import documents as dc
 from tenderloom.operators import filters as fl
-from tenderloom.schemas import FEED_ITEM, REGISTRY_EXPORT, REGISTRY_RECORD
+from tenderloom.schemas import REGISTRY_RECORD
 from tenderloom.sources import contracts as sc
 from tenderloom.sources import detail_pages as sd
 from tenderloom.sources import feed as sf_
@@ -189,8 +189,14 @@ _ALL = ("authority", "authority_ico", "value", "published", "deadline", "url", "
 @query("SELECT 'rvz:' || l_orderkey || '-' || l_linenumber AS id, 'Order ' || l_orderkey AS title, "
        + ", ".join(f"{FLAT[n]} AS {n}" for n in _ALL) + " FROM lineitem WHERE l_linenumber <> 7")
 def scan_registry_json(spark, sf):
-    envelope = table(spark, sf, "lineitem").selectExpr(f"to_json(named_struct('data', array({_RECORD}))) AS js")
-    read = envelope.select(F.from_json("js", REGISTRY_EXPORT).alias("e")).select(F.inline("e.data"))
+    # an envelope per order, written to files of two months and read through the reader
+    records = table(spark, sf, "lineitem").selectExpr("l_orderkey", f"{_RECORD} AS r")
+    envelopes = records.groupBy("l_orderkey").agg(F.collect_list("r").alias("data")).select(
+        F.when(F.col("l_orderkey") % 2 == 0, "2026-06").otherwise("2026-07").alias("month"),
+        F.to_json(F.struct(F.lit("1").alias("verze"), "data")).alias("value"))
+    root = new_path(spark, "registry")
+    envelopes.write.partitionBy("month").text(root)
+    read = sr.read_registry(spark, root, ["2026-06", "2026-07"])
     return sr.normalize_registry(read).select("id", "title", *_ALL[:-1], "award.winner")
 
 
@@ -318,8 +324,10 @@ def scan_feed_items(spark, sf):
         ELSE concat_ws(' ', substring(lpad(o_custkey, 8, '0'), 1, 3), substring(lpad(o_custkey, 8, '0'), 4, 5)) END || '</td></tr>'
         || '<tr><th>Adresa sídla</th><td>Ulice ' || o_orderpriority || ' </td></tr></table><a href="https://www.vhodne-uverejneni.cz/profil/' || o_orderkey
         || '" class="c" title="Město &amp; obec ' || o_custkey || '">p</a>' AS html""")
-    xml = o.select("o_orderkey", F.to_xml(F.struct(F.concat(F.lit("https://example.org/z/"), "o_orderkey").alias("link")), {"rowTag": "item"}).alias("x"))
-    items = xml.select(F.col("o_orderkey").alias("ord"), F.from_xml("x", FEED_ITEM, {"rowTag": "item"})["link"].alias("link"))
+    path = new_path(spark, "feed")      # in the order of the keys, which the reader has to keep
+    o.select("o_orderkey", F.concat(F.lit(" https://example.org/z/"), "o_orderkey").alias("link")).orderBy("o_orderkey").select(
+        "link").write.format("xml").option("rowTag", fv.FEED_ROW_TAG).option("rootTag", "channel").save(path)
+    items = sf_.read_feed(spark, path)
     known = sr.profiles_frame(spark)
     return sf_.feed_buyers(items, pages, known)
 

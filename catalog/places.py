@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from catalog.filters import EXPIRED_SQL, REGION_SQL, SECTOR_SQL, WORDS
 from catalog.scalars import _KM, inflect_sql
 from catalog.views import TODAY, query, table, view
+from tenderloom.materialize import new_path
 from tenderloom.operators import competition as cp
 from tenderloom.operators import filters as fl
 from tenderloom.operators import geo as ge
@@ -88,10 +89,9 @@ def scan_gazetteer_csv(spark, sf):
         F.when(F.col("p_type") == "PROMO", "n/a").otherwise(F.col("p_size").cast("string")).alias("lat"),
         F.col("p_retailprice").cast("string").alias("lon"),
     )
-    # written as one line per row and parsed back as a delimited record
-    line = F.concat_ws(";", "name", "lat", "lon")
-    fields = raw.select(F.from_csv(line, "name string, lat string, lon string", {"sep": ";"}).alias("r")).select("r.*")
-    return gz.parse_gazetteer(fields)
+    path = new_path(spark, "gazetteer")
+    raw.select(F.concat_ws(";", "name", "lat", "lon")).write.text(path)
+    return gz.read_gazetteer(spark, path)
 
 
 @query(f""", {GAZ_SQL}, {LOCATE_SQL}, {SECTOR_SQL}, {REGION_SQL.format(src='(SELECT * FROM sector)')},

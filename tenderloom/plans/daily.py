@@ -17,7 +17,7 @@ from tenderloom.operators.filters import mark_expired, passes_filters, sector_fi
 from tenderloom.operators.geo import locate, radius_filter, relocate_unknown
 from tenderloom.schemas import TENDER
 from tenderloom.settings import Settings
-from tenderloom.sources.order import SOURCE_SHIFT, scan_order
+from tenderloom.sources.order import MAX_SOURCES, SOURCE_SHIFT, frame_order
 from tenderloom.sources.registry import fill_urls
 
 
@@ -36,6 +36,8 @@ def conform(tenders: DataFrame) -> DataFrame:
 
 def ordered_sources(*sources: DataFrame) -> DataFrame:
     """Union with ``ord`` made unique across sources, earlier sources first."""
+    if len(sources) >= MAX_SOURCES:
+        raise ValueError(f"at most {MAX_SOURCES - 1} sources, each a reader's whole input")
     return union_sources(*[
         s.withColumn("ord", F.lit(i).cast("bigint") * (1 << SOURCE_SHIFT) + F.col("ord")) for i, s in enumerate(sources)
     ])
@@ -60,7 +62,7 @@ def daily_build(
     fresh = placed.kept
 
     # records of earlier runs come after all fresh ones, in the order of their snapshot
-    earlier = previous.withColumn("ord", F.lit(len(sources)).cast("bigint") * (1 << SOURCE_SHIFT) + scan_order())
+    earlier = previous.withColumn("ord", F.lit(len(sources)).cast("bigint") * (1 << SOURCE_SHIFT) + frame_order())
     carried = sector_filter(ch.carry_forward(earlier, fresh, placed.dropped, first.merged_away), settings)
     carried = relocate_unknown(carried, gazetteer, settings)
     both = materialize(union_sources(conform(fresh), conform(carried)))

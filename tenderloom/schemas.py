@@ -32,7 +32,6 @@ REGISTRY_RECORD = (
     f"zadavaci_postupy_pro_casti:array<{_PROCEDURE}>>>>,"
     "historie_lhut array<struct<zaznamy:array<struct<druh_lhuty:string,datum_a_cas_konce_lhuty:string>>>>"
 )
-REGISTRY_EXPORT = f"data array<struct<{REGISTRY_RECORD}>>"
 
 CONTRACT_RECORD = (
     "identifikator struct<idSmlouvy:string,idVerze:string>,odkaz string,platnyZaznam string,"

@@ -8,15 +8,17 @@ from pyspark.sql import functions as F
 from tenderloom import fixed_values as fv
 from tenderloom.functions import text as tx
 from tenderloom.schemas import CONTRACT_RECORD
-from tenderloom.sources.order import scan_order
+from tenderloom.sources.order import in_file_order, number_of
 
 
 def read_contract_xml(spark: SparkSession, path: str) -> DataFrame:
-    """The XML source splits a dump by record; only the declared fields are read."""
-    return (
+    """The XML source splits a dump by record; only the declared fields are read. Records keep the
+    order of the dump in ``ord``."""
+    scan = (
         spark.read.format("xml").schema(CONTRACT_RECORD).option("rowTag", fv.CONTRACT_ROW_TAG)
         .option("ignoreNamespace", True).load(path)
     )
+    return in_file_order(scan, [path])
 
 
 def normalize_contracts(records: DataFrame) -> DataFrame:
@@ -35,5 +37,5 @@ def normalize_contracts(records: DataFrame) -> DataFrame:
         F.trim(body["predmet"]).alias("predmet"), F.trim(body["datumUzavreni"]).alias("datum"),
         F.when(~F.isnan(value), value).alias("hodnota"),
         tx.blank_to_null(body["navazanyZaznam"]).alias("parent"),
-        scan_order().alias("ord"),
+        number_of(records).alias("ord"),
     )

@@ -8,14 +8,13 @@ from pyspark.sql import functions as F
 from tenderloom import fixed_values as fv
 from tenderloom.functions import text as tx
 from tenderloom.schemas import FEED_ITEM
-from tenderloom.sources.order import scan_order
+from tenderloom.sources.order import in_file_order
 
 
 def read_feed(spark: SparkSession, path: str) -> DataFrame:
+    """Links of the items, in the order of the file."""
     items = spark.read.format("xml").schema(FEED_ITEM).option("rowTag", fv.FEED_ROW_TAG).load(path)
-    return items.select(tx.blank_to_null("link").alias("link"), scan_order().alias("ord")).where(
-        "link IS NOT NULL"
-    )
+    return in_file_order(items, [path]).select(tx.blank_to_null("link").alias("link"), "ord").where("link IS NOT NULL")
 
 
 def feed_page_fields(pages: DataFrame) -> DataFrame:

@@ -8,34 +8,43 @@ from pyspark.sql import functions as F
 from tenderloom import fixed_values as fv
 from tenderloom.functions import records as rec
 from tenderloom.functions import text as tx
-from tenderloom.schemas import REGISTRY_EXPORT
+from tenderloom.schemas import REGISTRY_RECORD
 from tenderloom.settings import Settings
-from tenderloom.sources.order import month_number, scan_order
+from tenderloom.sources.order import in_file_order, number_of
 
 
 def read_registry(spark: SparkSession, root: str, months: list[str]) -> DataFrame:
-    """Exports under ``root/month=YYYY-MM``; only the asked months are listed and read."""
-    return (
-        spark.read.schema(REGISTRY_EXPORT).option("multiLine", True).option("basePath", root)
-        .json([f"{root}/month={m}" for m in months])
-        .select("month", F.inline("data"))
-    )
+    """Records of the exports under ``root/month=YYYY-MM``, in the order of the months and files;
+    only the asked months are listed and read.
+
+    An export is one JSON envelope of any layout, possibly a single line, yet files are read in
+    splits: the text source cuts them at the quoted name of the field that opens every record. (A
+    quoted name inside a string has escaped quotes, so it is none.) What follows the name, up to the
+    record's last brace, is parsed by itself; the rest of a piece is the frame around the records.
+    Fields of a record that stand before that name would be lost, so such a file is an error.
+    """
+    paths = [f"{root}/month={m}" for m in months]
+    name = f'"{fv.REGISTRY_RECORD_FIELD}"'
+    pieces = in_file_order(spark.read.option("basePath", root).option("lineSep", name).text(paths), paths)
+    whole = F.when(~F.rtrim(F.regexp_replace("value", r"\s+$", "")).endswith(","), F.col("value")).otherwise(
+        F.raise_error(F.lit("a registry record has fields before " + name)))
+    record = F.from_json(F.concat(F.lit("{" + name), whole), REGISTRY_RECORD)
+    return pieces.where(F.col("value").rlike(r"^\s*:")).select("month", "ord", record.alias("r")).select("month", "r.*", "ord")
 
 
 def normalize_registry(records: DataFrame) -> DataFrame:
     """Registry records (verejna_zakazka, historie_lhut) to the tender model.
 
-    Records without id or title are dropped. Later months and later records get a
+    Records without id or title are dropped. Later months and later records have a
     higher ``ord``, so they win ties.
     """
     vz = F.col("verejna_zakazka")
-    period = month_number(F.col("month")) if "month" in records.columns else None
     base = records.where(
         (F.coalesce(vz["identifikator_NIPEZ"], F.lit("")) != "")
         & (F.coalesce(vz["nazev_verejne_zakazky"], F.lit("")) != "")
     ).select(
         vz.alias("vz"), F.col("historie_lhut").alias("history"), rec.derive_lots(vz).alias("zps"),
-        scan_order(period).alias("ord"),
+        number_of(records).alias("ord"),
     )
     vz, zps = F.col("vz"), F.col("zps")
     nen = rec.first_where(
