@@ -53,7 +53,7 @@ def daily_build(
     Source order is registry, profiles, feed. The optional tables hold answers of live
     lookups (stubs, links, details); without them those steps change nothing.
     """
-    everything = conform(ordered_sources(*sources))
+    everything = materialize(conform(ordered_sources(*sources)), "sources")      # parsed once, read three times
     filtered = mark_expired(passes_filters(everything, settings), today)
     unique = materialize(fill_urls(dedup_by_id(filtered, today), everything, profiles))
     first = dedup_cross_source(unique, today)

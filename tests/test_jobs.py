@@ -18,7 +18,7 @@ from tenderloom.sources import profiles as sp
 from tenderloom.sources import registry as sr
 from tenderloom.sources import snapshots as ss
 from tenderloom.streaming import jobs
-from tenderloom.streaming.tables import VersionedTable
+from tenderloom.streaming.tables import ArrivalTable, ChangeTable
 
 TODAY = "2026-08-01"
 
@@ -117,7 +117,7 @@ def test_guard_and_versions(spark, tmp_path):
 
 
 def test_streams_over_several_batches(spark, tmp_path):
-    source, out = str(tmp_path / "in"), VersionedTable(spark, str(tmp_path / "out"), "id string, url_dead long, link_dead boolean")
+    source, out = str(tmp_path / "in"), ChangeTable(spark, str(tmp_path / "out"), "id string, url_dead long, link_dead boolean", ["id"])
     schema = "id string, run long, code int"
     for batch in ([("a", 1, 404), ("b", 1, 404)], [("a", 2, None), ("b", 2, 200)], [("a", 3, 410), ("b", 3, 404), ("c", 3, None)]):
         spark.createDataFrame(batch, schema).write.mode("append").parquet(source)
@@ -133,14 +133,14 @@ def test_a_dump_split_over_two_batches_is_judged_whole(spark, tmp_path):
               "predmet string, datum string, hodnota double, parent string, ord long, dump int")
     row = lambda i, price, n, dump: (i, "1", "u", True, "1", [("9", "F")], "p", "2026-01-15", price, None, n, dump)
     source = str(tmp_path / "in")
-    links = VersionedTable(spark, str(tmp_path / "links"), LINK)
-    waiting = VersionedTable(spark, str(tmp_path / "waiting"), spark.createDataFrame([], schema).schema)
+    links = ChangeTable(spark, str(tmp_path / "links"), LINK, ["tender_id"])
+    waiting = ArrivalTable(spark, str(tmp_path / "waiting"), schema, "dump")
     for batch in ([row("a", 100.0, 1, 1)], [row("b", 101.0, 2, 1)], [row("c", 500.0, 1, 2)]):
         spark.createDataFrame(batch, schema).write.mode("append").parquet(source)
         jobs.contract_link_stream(spark.readStream.schema(schema).parquet(source), competition, links, waiting, str(tmp_path / "cp")).awaitTermination()
     one, = links.latest().collect()
     assert (one["contract_id"], one["confidence"]) == ("a", "low")
-    assert [r["id"] for r in waiting.latest().collect()] == ["c"]
+    assert [r["id"] for r in waiting.read(waiting.groups()[-1:]).collect()] == ["c"]
     assert jobs.finish_links(competition, links, waiting).count() == 1
 
 
