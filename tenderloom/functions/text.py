@@ -71,25 +71,31 @@ def _jamo(syllable: Column) -> Column:
 
 
 def _fold(c: Column | str, all_marks: bool) -> Column:
-    """Spark has no Unicode normalisation function, so decomposition and lower-casing are one
-    ``translate`` table computed from the Unicode database. Plain ASCII rows need only
-    ``lower``; for the others, what is still not ASCII afterwards decides, per row, whether
-    marks must be dropped or characters that expand to several replaced."""
+    """Spark has no Unicode normalisation function, so decomposition and lower-casing are a table
+    computed from the Unicode database. Plain ASCII rows need only ``lower``. The others are few
+    characters often repeated: each distinct one that is not ASCII is folded once, by itself, and
+    replaced wherever it stands. (What a character folds to folds to itself, so the order of the
+    replacements does not matter, and ``lower`` then meets upper case in ASCII only.)"""
     text = col(c)
     source, target, many, expanding, marks = _folding(all_marks)
     syllables = f"\\x{{{_HANGUL[0]:X}}}-\\x{{{_HANGUL[1]:X}}}"
-    plain = F.translate(text, source, target)
-    rest = F.regexp_replace(plain, r"[\x00-\x7F]+", "")
     table = F.create_map(*[F.lit(x) for kv in many.items() for x in kv])
-    found = F.array_distinct(F.regexp_extract_all(plain, F.lit(f"[{expanding}{syllables}]"), F.lit(0)))
-    expanded = F.aggregate(found, plain, lambda acc, ch: F.replace(
-        acc, ch, F.when(ch.rlike(f"[{syllables}]"), _jamo(ch)).otherwise(F.try_element_at(table, ch))))
-    return (
-        F.when(F.octet_length(text) == F.length(text), F.lower(text))
-        .when(rest == "", plain)
-        .when(rest.rlike(f"[{expanding}{syllables}]"), F.regexp_replace(expanded, f"[{marks}]+", ""))
-        .otherwise(F.regexp_replace(plain, f"[{marks}]+", ""))
-    )
+
+    def folded(ch: Column) -> Column:
+        one = F.translate(ch, source, target)
+        return (
+            F.when(one != ch, one)
+            .when(ch.rlike(f"[{syllables}]"), _jamo(ch))
+            .when(ch.rlike(f"[{expanding}]"), F.try_element_at(table, ch))
+            .when(ch.rlike(f"[{marks}]"), "")
+            .otherwise(ch)
+        )
+
+    found = F.array_distinct(F.regexp_extract_all(text, F.lit(r"[^\x00-\x7F]"), F.lit(0)))
+    changes = F.filter(F.transform(found, lambda ch: F.struct(ch.alias("from"), folded(ch).alias("to"))),
+                       lambda x: x["from"] != x["to"])
+    replaced = F.aggregate(changes, text, lambda acc, x: F.replace(acc, x["from"], x["to"]))
+    return F.lower(F.when(F.octet_length(text) == F.length(text), text).otherwise(replaced))
 
 
 def fold_text(c: Column | str) -> Column:

@@ -62,22 +62,22 @@ def _found(text: Column, pattern: str, length: int) -> Column:
 
 def mine_tender_doc(docs: DataFrame, text: str = "text") -> DataFrame:
     """Value, place and term named in a tender document."""
-    t = tx.fold_text(text)
-    return docs.withColumns({
+    t = F.col("_folded")
+    return docs.withColumn("_folded", tx.fold_text(text)).withColumns({
         "hodnota": tx.parse_cz_number(tx.first_group(t, fv.DOC_VALUE_PATTERN)),
         "misto": _found(t, fv.DOC_PLACE_PATTERN, 140),
         "termin": _found(t, fv.DOC_TERM_PATTERN, 140),
-    })
+    }).drop("_folded")
 
 
 def mine_award_report(docs: DataFrame, text: str = "text") -> DataFrame:
     """Winner (only when it looks like a company) and final price of an award report."""
-    t = tx.fold_text(text)
-    winner = tx.first_group(t, fv.DOC_WINNER_PATTERN)
-    return docs.withColumns({
+    t, winner = F.col("_folded"), F.col("_winner")
+    folded = docs.withColumn("_folded", tx.fold_text(text))
+    return folded.withColumn("_winner", tx.first_group(t, fv.DOC_WINNER_PATTERN)).withColumns({
         "vitez": F.when(winner.rlike(fv.DOC_COMPANY_PATTERN), F.substring(tx.squeeze(winner), 1, 100)),
         "cena": tx.parse_cz_number(tx.first_group(t, fv.DOC_PRICE_PATTERN)),
-    })
+    }).drop("_folded", "_winner")
 
 
 def profile_doc_lookup(tenders: DataFrame, exports: DataFrame, words) -> DataFrame:
