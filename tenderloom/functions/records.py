@@ -19,6 +19,11 @@ def _texts(values: Column) -> Column:
     return _array(F.array_distinct(F.filter(trimmed, lambda x: F.coalesce(x != "", F.lit(False)))))
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once: the variable of a lambda over one element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def first_where(values: Column, condition) -> Column:
     return F.get(F.filter(values, condition), F.lit(0))
 
@@ -112,29 +117,32 @@ def derive_award(zps: Column) -> Column:
     """
     contracts = _flat(F.transform(zps, lambda z: z["vysledek"]["smlouva"]))
     selected = _flat(F.transform(zps, lambda z: z["vysledek"]["vybrani_dodavatele_zadavaciho_postupu"]))
-    suppliers = _flat(F.transform(contracts, lambda s: s["dodavatele_se_kterymi_byla_uzavrena_smlouva"]))
     names = lambda a: _texts(F.transform(a, lambda d: d["subjekt"]["nazev_subjektu"]))
     ids = lambda a: _texts(F.transform(a, lambda d: d["subjekt"]["ico"]))
-    signed_by = names(suppliers)
-    decided = F.size(signed_by) == 0
-    home = F.filter(contracts, lambda s: _is_home(s["hodnota_smluvni_ceny_mena"]))
-    payments = F.filter(
-        _flat(F.transform(contracts, lambda s: s["skutecne_uhrazene_ceny"])), lambda u: _is_home(u["mena"])
-    )
-    dates = _texts(F.transform(contracts, lambda s: F.substring(s["datum_uzavreni_smlouvy"], 1, 10)))
-    award = F.struct(
-        F.array_max(dates).alias("date"),
-        F.array_join(F.when(decided, names(selected)).otherwise(signed_by), "; ").alias("winner"),
-        F.array_join(
-            F.when(decided, F.array_union(ids(suppliers), ids(selected))).otherwise(ids(suppliers)), "; "
-        ).alias("winner_ico"),
-        _sum_known(F.transform(home, lambda s: s["hodnota_smluvni_ceny_bez_DPH"])).alias("price_contracted"),
-        _sum_known(
-            F.transform(payments, lambda u: u["hodnota_skutecne_uhrazene_ceny_bez_DPH"])
-        ).alias("price_paid"),
-        F.lit(None).cast("string").alias("registr_url"),
-    )
-    return F.when(F.size(contracts) > 0, award)
+
+    def winners(suppliers: Column) -> Column:
+        """(names, ids) of the contracts' suppliers; the selection fills in when they have no names."""
+        named = F.struct(names(suppliers).alias("names"), ids(suppliers).alias("ids"))
+        return _let(named, lambda w: F.when(F.size(w["names"]) > 0, w).otherwise(_let(selected, lambda d: F.struct(
+            names(d).alias("names"), F.array_union(w["ids"], ids(d)).alias("ids")))))
+
+    def award(c: Column) -> Column:
+        suppliers = _flat(F.transform(c, lambda s: s["dodavatele_se_kterymi_byla_uzavrena_smlouva"]))
+        home = F.filter(c, lambda s: _is_home(s["hodnota_smluvni_ceny_mena"]))
+        payments = F.filter(
+            _flat(F.transform(c, lambda s: s["skutecne_uhrazene_ceny"])), lambda u: _is_home(u["mena"])
+        )
+        dates = _texts(F.transform(c, lambda s: F.substring(s["datum_uzavreni_smlouvy"], 1, 10)))
+        return _let(_let(suppliers, winners), lambda w: F.struct(
+            F.array_max(dates).alias("date"),
+            F.array_join(w["names"], "; ").alias("winner"),
+            F.array_join(w["ids"], "; ").alias("winner_ico"),
+            _let(F.transform(home, lambda s: s["hodnota_smluvni_ceny_bez_DPH"]), _sum_known).alias("price_contracted"),
+            _let(F.transform(payments, lambda u: u["hodnota_skutecne_uhrazene_ceny_bez_DPH"]), _sum_known).alias("price_paid"),
+            F.lit(None).cast("string").alias("registr_url"),
+        ))
+
+    return _let(contracts, lambda c: F.when(F.size(c) > 0, award(c)))
 
 
 def _latest_end(terms: Column, condition) -> Column:
