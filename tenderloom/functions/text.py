@@ -79,7 +79,8 @@ def _fold(c: Column | str, all_marks: bool) -> Column:
     text = col(c)
     source, target, many, expanding, marks = _folding(all_marks)
     syllables = f"\\x{{{_HANGUL[0]:X}}}-\\x{{{_HANGUL[1]:X}}}"
-    table = F.create_map(*[F.lit(x) for kv in many.items() for x in kv])
+    # one literal that the optimiser turns into a map, in place of thousands
+    table = F.str_to_map(F.lit("\x01".join(f"{k}\x02{v}" for k, v in many.items())), F.lit("\x01"), F.lit("\x02"))
 
     def folded(ch: Column) -> Column:
         one = F.translate(ch, source, target)
