@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import html.entities
 import unicodedata
-from functools import lru_cache
+from functools import cache, lru_cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -191,36 +191,68 @@ def format_change_value(field: str, c: Column | str) -> Column:
     return F.when(missing, dash).otherwise(text)
 
 
+@cache
+def _references() -> tuple[str, str, str, str]:
+    """From the HTML 5 table: names with their semicolon, names that do without, and low codes that
+    stand for other characters (each as text for a map), and a pattern for a name without semicolon."""
+    joined = lambda pairs: "\x02".join(f"{k}\x01{v}" for k, v in pairs)
+    bare = sorted((n for n in html.entities.html5 if not n.endswith(";")), key=len, reverse=True)
+    return (
+        joined((n, c) for n, c in html.entities.html5.items() if n.endswith(";")),
+        joined((n, html.entities.html5[n]) for n in bare),
+        joined((n, html.unescape(f"&#{n};")) for n in range(0xA0)),
+        "^(?:" + "|".join(bare) + ")",
+    )
+
+
 def html_unescape(c: Column | str) -> Column:
-    """Decode named and numeric character references."""
+    """Decode character references as HTML 5 does: all names, also without semicolon where that is
+    allowed (then the longest name counts), decimal and hexadecimal codes."""
     text = col(c)
-    named = html.entities.name2codepoint
-    table = F.create_map(*[F.lit(x) for n, p in named.items() for x in (n, chr(p))])
+    full, short, low, bare = _references()
+    table = lambda t: F.str_to_map(F.lit(t), F.lit("\x02"), F.lit("\x01"))
+    pattern = r"(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
 
     def from_code(code: Column) -> Column:
-        return F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        number = F.coalesce(code, F.lit(1 << 40))       # more digits than a number holds
+        known = (number <= 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
+        none = number.between(0xFDD0, 0xFDEF) | (number.bitwiseAND(0xFFFE) == 0xFFFE)
+        return F.coalesce(
+            F.try_element_at(table(low), number.cast("string")),
+            F.when(~known, "\ufffd").when(none, ""),
+            F.decode(F.unhex(F.lpad(F.hex(F.when(known, number).otherwise(0xFFFD)), 8, "0")), "UTF-32"),
+        )
 
-    def character(ref: Column) -> Column:
-        hexadecimal = F.conv(F.regexp_extract(ref, "^#[xX]([0-9a-fA-F]{1,6})$", 1), 16, 10).try_cast("bigint")
-        decimal = F.regexp_extract(ref, r"^#(\d{1,7})$", 1).try_cast("bigint")
+    def from_name(ref: Column) -> Column:
+        name = F.regexp_extract(ref, bare, 0)
         return F.coalesce(
-            F.try_element_at(table, ref),
-            F.when(ref.rlike("^#[xX]"), from_code(hexadecimal)).when(ref.rlike("^#"), from_code(decimal)),
+            F.try_element_at(table(full), ref),
+            F.concat(F.try_element_at(table(short), name), F.substr(ref, F.length(name) + 1)),
+            F.concat(F.lit("&"), ref),
         )
 
-    # "&amp;" goes last so that its result is not decoded a second time
-    found = F.array_distinct(F.regexp_extract_all(text, F.lit("&(#?[0-9A-Za-z]+);"), F.lit(1)))
-    ordered = F.concat(
-        F.filter(found, lambda r: r != "amp"), F.filter(found, lambda r: r == "amp")
-    )
-    decoded = F.aggregate(
-        ordered,
-        text,
-        lambda acc, r: F.coalesce(
-            F.replace(acc, F.concat(F.lit("&"), r, F.lit(";")), character(r)), acc
-        ),
-    )
-    return F.when(text.contains("&"), decoded).otherwise(text)
+    def character(ref: Column) -> Column:
+        digits = F.regexp_extract(ref, "^#[xX]?0*([0-9a-fA-F]*)", 1)
+        number = F.when(digits == "", F.lit(0)).when(
+            ref.rlike("^#[xX]"), F.when(F.length(digits) <= 8, F.conv(digits, 16, 10).try_cast("bigint"))
+        ).otherwise(digits.try_cast("bigint"))
+        return F.when(ref.startswith("#"), from_code(number)).otherwise(from_name(ref))
+
+    # each distinct reference is looked up once; the text is put together again from its pieces
+    refs = F.array_distinct(F.regexp_extract_all(text, F.lit("&" + pattern), F.lit(1)))
+    known = F.map_from_entries(F.transform(refs, lambda r: F.struct(r, character(r))))
+    pieces = F.split(text, "&")
+
+    def decoded(characters: Column) -> Column:
+        def piece(p: Column) -> Column:
+            ref = F.regexp_extract(p, "^" + pattern, 1)
+            return F.concat(F.coalesce(F.try_element_at(characters, ref), F.lit("&")), F.substr(p, F.length(ref) + 1))
+
+        rest = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), piece)
+        return F.concat(F.get(pieces, F.lit(0)), F.array_join(rest, ""))
+
+    whole = F.get(F.transform(F.array(known), decoded), F.lit(0))
+    return F.when(text.contains("&"), whole).otherwise(text)
 
 
 def strip_tags(c: Column | str, filler: str = " ") -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -38,27 +40,27 @@ def gazetteer_match(
 ) -> DataFrame:
     """Best place named in each text: more words first, then nearest to the centre.
 
-    Every token position becomes a short row (the token and the few after it), joined to
-    the place index on the token; whole texts are never shuffled. As many tokens follow as the
-    longest name of the gazetteer has.
+    Every token position becomes a short row, the token and the next one, joined to the place index
+    on the token; that decides names of up to two words. Where longer names agree so far, and only
+    there, the text of the position is read again and the rest of the name compared. So no row is
+    longer than two tokens, whatever the longest name, and texts without such a position stay put.
     """
     index = gazetteer_index(gazetteer, settings)
-    longest = index.agg(F.max("nwords")).scalar()
-    words = tx.tokens(tx.norm_geo(text))
-    positions = (
-        texts.select(*keys, words.alias("w"))
-        .select(*keys, "w", F.explode(F.sequence(F.lit(1), F.greatest(F.size("w"), F.lit(1)))).alias("pos"))
-        .where(F.size("w") > 0)
-        .select(*keys, F.slice("w", F.col("pos"), longest).alias("ahead"))
-        .withColumn("first", F.get("ahead", F.lit(0)))
-    )
+    split = texts.select(*keys, tx.tokens(tx.norm_geo(text)).alias("w"))
+    positions = split.select(*keys, "w", F.posexplode("w").alias("pos", "first")).select(
+        *keys, "pos", "first", F.get("w", F.col("pos") + 1).alias("second"))
+    second = F.coalesce(F.array_contains(F.get("rest", F.lit(0)), F.col("second")), F.lit(False))
+    hits = materialize(positions.join(index, "first").where((F.col("nwords") == 1) | second).select(
+        *keys, "pos", "nwords", F.when(F.col("nwords") > 2, F.col("rest")).alias("rest"), "lat", "lon", "dist"), "places")
+    longer = hits.where("nwords > 2").alias("h")
+    same = reduce(and_, [F.col(f"h.{k}").eqNullSafe(F.col(f"t.{k}")) for k in keys])
     agrees = F.forall(
-        F.arrays_zip(F.slice(F.col("ahead"), F.lit(2), F.col("nwords") - 1).alias("word"), F.col("rest").alias("forms")),
-        lambda p: F.array_contains(p["forms"], p["word"]),
+        F.arrays_zip(F.slice("w", F.col("pos") + 2, F.col("nwords") - 1).alias("word"), F.col("rest").alias("forms")),
+        lambda p: F.coalesce(F.array_contains(p["forms"], p["word"]), F.lit(False)),
     )
-    hits = positions.join(index, "first").where(F.col("nwords") <= F.size("ahead")).where(agrees)
+    whole = longer.join(split.alias("t"), same).where(agrees).select(*[f"h.{c}" for c in hits.columns])
     best = F.struct("nwords", -F.col("dist"), -F.col("lat"), -F.col("lon"))
-    return hits.groupBy(*keys).agg(
+    return hits.where("nwords <= 2").unionByName(whole).groupBy(*keys).agg(
         F.max_by(F.struct("lat", "lon", "nwords"), best).alias("place")
     ).select(*keys, "place.lat", "place.lon", "place.nwords")
 

@@ -279,14 +279,26 @@ def watch_specs(tenders: DataFrame, watched: DataFrame, today, spec_days: int =
 
 
 def watched_contract_match(specs: DataFrame, contracts: DataFrame, found: DataFrame | None = None) -> DataFrame:
-    """First contract in dump order that shares at least half of the title words."""
+    """First contract in dump order that shares at least half of the title words.
+
+    Contracts of one buyer, day and set of words are first reduced to the earliest. Then the words of
+    a title are ordered by how many contracts of its buyer have them: half of n words are shared only
+    if one of the n // 2 + 1 rarest is, so contracts meet a title by those and are compared once met.
+    Where any word decides (titles of one or two), the earliest contract of each word and day stands
+    for all others. A word that most contracts of a buyer have thus brings none of them to a title
+    that has rarer ones.
+    """
     if found is not None:
         specs = specs.join(found.select("id"), "id", "left_anti")
-    width = 91
-    wanted = specs.where(F.size("title_tokens") > 0).select(
-        "*",
-        F.explode(F.sequence(_bin(F.col("from_date"), width), _bin(F.col("to_date"), width))).alias("bin"),
-    )
+    wanted = specs.where((F.size("title_tokens") > 0) & F.col("buyer").isNotNull()).select(
+        "id", "buyer", "title_tokens", "from_date", "to_date").distinct()
+    texts = materialize(_subjects(contracts, wanted.select("buyer").distinct()), "subjects")
+    best = _first_shared(wanted, texts)
+    return best if found is None else found.unionByName(best)
+
+
+def _subjects(contracts: DataFrame, buyers: DataFrame) -> DataFrame:
+    """(buyer, signed, words, contract, place): the earliest contract of each set of subject words."""
     signed = _day("datum")
     supplier = F.coalesce(
         F.get(F.filter(
@@ -295,19 +307,34 @@ def watched_contract_match(specs: DataFrame, contracts: DataFrame, found: DataFr
         F.get(F.filter(F.reverse("parties"), lambda p: p["nazev"] != ""), F.lit(0))["nazev"],
     )
     usable = contracts.where(F.col("platny") & ~_present("parent")).select(
-        F.col("id").alias("contract_id"), "url", signed.alias("signed"), F.col("hodnota").alias("price"), "ord",
-        F.col("ico_zadavatel").alias("buyer"), tx.sig_tokens("predmet").alias("subject_tokens"),
-        supplier.alias("supplier"), _bin(signed, width).alias("bin"),
-    ).where("signed IS NOT NULL")
-    # joined on shared words and counted, so that a buyer's contracts without any are never paired
-    key = ["id", "contract_id", "url", "signed", "price", "ord", "supplier"]
-    hits = wanted.withColumn("word", F.explode("title_tokens")).join(
-        usable.withColumn("word", F.explode("subject_tokens")), ["buyer", "bin", "word"]
-    ).where(F.col("signed").between(F.col("from_date"), F.col("to_date"))).groupBy(*key).agg(
-        F.count("*").alias("common"), F.any_value(F.size("title_tokens")).alias("words")
-    ).where("common * 2 >= words")
-    best = hits.groupBy("id").agg(
-        F.min_by(F.struct("contract_id", "url", F.col("signed").alias("date"), "price", "supplier"),
-                 F.struct("ord", "contract_id")).alias("c")
-    ).select("id", "c.*")
-    return best if found is None else found.unionByName(best)
+        F.col("ico_zadavatel").alias("buyer"), signed.alias("signed"), F.sort_array(tx.sig_tokens("predmet")).alias("words"),
+        F.struct(F.col("id").alias("contract_id"), "url", signed.alias("date"), F.col("hodnota").alias("price"),
+                 supplier.alias("supplier")).alias("contract"),
+        F.struct("ord", F.col("id").alias("contract_id")).alias("place"),
+    ).where("signed IS NOT NULL AND size(words) > 0").join(buyers, "buyer", "left_semi")
+    return usable.groupBy("buyer", "signed", "words").agg(
+        F.min_by("contract", "place").alias("contract"), F.min("place").alias("place"))
+
+
+def _first_shared(wanted: DataFrame, texts: DataFrame) -> DataFrame:
+    """The earliest contract of ``texts`` for each title that shares half of its words with one."""
+    width = 91
+    words = texts.select("*", F.explode("words").alias("word"))
+    by_day = words.groupBy("buyer", "word", "signed").agg(
+        F.min_by("contract", "place").alias("contract"), F.min("place").alias("place"))
+    frequency = words.groupBy("buyer", "word").agg(F.count("*").alias("n"))
+    rarest = F.sort_array(F.collect_list(F.struct("n", "word")))
+    n_words = F.size("title_tokens")
+    # words that no contract has are the rarest of all, and meet none
+    asked = wanted.select("*", F.explode("title_tokens").alias("word")).join(frequency, ["buyer", "word"], "left") \
+        .withColumn("n", F.coalesce("n", F.lit(0))).groupBy(*wanted.columns).agg(rarest.alias("rarest")) \
+        .select(*wanted.columns, F.explode(F.slice("rarest", F.lit(1), F.floor(n_words / 2).cast("int") + 1)).alias("w")) \
+        .where("w.n > 0").select(*wanted.columns, "w.word", F.explode(F.sequence(
+            _bin(F.col("from_date"), width), _bin(F.col("to_date"), width))).alias("bin"))
+    near = F.col("signed").between(F.col("from_date"), F.col("to_date"))
+    half = F.size(F.array_intersect("title_tokens", "words")) * 2 >= n_words
+    met = lambda titles, rows: titles.join(
+        rows.withColumn("bin", _bin(F.col("signed"), width)), ["buyer", "bin", "word"]).where(near)
+    hits = met(asked.where(n_words <= 2), by_day).select("id", "contract", "place").unionByName(
+        met(asked.where(n_words > 2), words).where(half).select("id", "contract", "place"))
+    return hits.groupBy("id").agg(F.min_by("contract", "place").alias("c")).select("id", "c.*")
