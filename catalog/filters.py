@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from catalog.views import TODAY, query, table, view
 from tenderloom import Settings
+from tenderloom.materialize import materialize
 from tenderloom.operators import competition as cp
 from tenderloom.operators import dashboard as db
 from tenderloom.operators import dedup as dd
@@ -167,7 +168,8 @@ def dislike_model(spark, sf):
 
 @query(f", {PREF_SQL}, {MODEL_SQL}, {REASON_SQL} SELECT id, reason FROM reasons WHERE reason IS NOT NULL", "tender_v", "pref_v")
 def irrelevance_reason(spark, sf):
-    return _reasons(spark, sf, view(spark, sf, "tender_v"))[0]
+    # stored once; the rows are read for words, fingerprints and flags
+    return _reasons(spark, sf, materialize(view(spark, sf, "tender_v"), "tenders"))[0]
 
 
 @query("""
@@ -216,7 +218,7 @@ def verdict_selection(spark, sf):
 
 
 def _marked(spark, sf):
-    t = fl.mark_expired(view(spark, sf, "tender_v"), TODAY)
+    t = materialize(fl.mark_expired(view(spark, sf, "tender_v"), TODAY), "tenders")
     reasons, prefs = _reasons(spark, sf, t)
     # distance stands for itself in the geo queries; here the number of clarifications
     located = t.withColumns({"dist_km": F.col("clarifications"), "loc_unknown": F.col("state").isNull()})

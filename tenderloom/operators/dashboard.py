@@ -20,18 +20,20 @@ def with_marks(
     tenders: DataFrame, *, verdicts: DataFrame, watched: DataFrame, hidden: DataFrame,
     changed: DataFrame, reasons: DataFrame,
 ) -> DataFrame:
-    """Tenders with everything the dashboard knows about them by id."""
-    return (
-        tenders.join(verdicts.select("id", "verdikt"), "id", "left")
-        .join(watched.select("id", F.lit(True).alias("_w")), "id", "left")
-        .join(hidden.select("id", F.lit(True).alias("_h")), "id", "left")
-        .join(changed.select("id", F.lit(True).alias("_c")), "id", "left")
-        .join(reasons.select("id", "reason"), "id", "left")
-        .withColumns({
-            "watched": F.col("_w").isNotNull(), "hidden": F.col("_h").isNotNull(),
-            "changed": F.col("_c").isNotNull(),
-        }).drop("_w", "_h", "_c")
-    )
+    """Tenders with everything the dashboard knows about them by id: the marks of all tables are
+    gathered to one row per id, which is joined once."""
+    def row(df: DataFrame, mark: str, value: str | None = None) -> DataFrame:
+        text = F.lit(None).cast("string") if value is None else F.col(value)
+        return df.select("id", F.lit(mark).alias("mark"), text.alias("value"))
+
+    marks = row(verdicts, "verdict", "verdikt").unionByName(row(watched, "watched")).unionByName(row(hidden, "hidden")) \
+        .unionByName(row(changed, "changed")).unionByName(row(reasons, "reason", "reason")).where("id IS NOT NULL")
+    value = lambda mark: F.max(F.when(F.col("mark") == mark, F.col("value")))
+    has = ("watched", "hidden", "changed")
+    by_id = marks.groupBy("id").agg(
+        value("verdict").alias("verdikt"), value("reason").alias("reason"),
+        *[F.max(F.col("mark") == m).alias(m) for m in has])
+    return tenders.join(by_id, "id", "left").withColumns({m: F.coalesce(m, F.lit(False)) for m in has})
 
 
 def tender_list_filter(

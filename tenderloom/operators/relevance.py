@@ -80,7 +80,7 @@ def dislike_model(disliked: DataFrame) -> DataFrame:
 def irrelevance_reason(
     tenders: DataFrame, fingerprints: DataFrame, model: DataFrame, disliked: DataFrame, watched: DataFrame
 ) -> DataFrame:
-    """(id, reason): rejected directly, or guessed from repeated rejections.
+    """(id, reason): rejected directly, or guessed from repeated rejections; one row per id.
 
     Watched tenders are never hidden by a guess; construction codes switch the guesses by
     code and buyer off.
@@ -114,11 +114,11 @@ def irrelevance_reason(
         .when(F.size("toks") >= fv.MATCHING_TOKENS, F.concat(
             F.lit("odhad: název podobný odmítnutým ("), words, F.lit(")")))
     )
-    flags = (
-        tenders.select("id")
-        .join(disliked.select("id", F.lit(True).alias("direct")), "id", "left")
-        .join(watched.select("id", F.lit(True).alias("starred")), "id", "left")
-        .join(hits.select("id", guess.alias("guess")), "id", "left")
-    )
-    reason = F.when(F.col("direct"), F.lit("odmítnuto 👎")).when(F.col("starred").isNull(), F.col("guess"))
-    return flags.select("id", reason.alias("reason")).where("reason IS NOT NULL")
+    mark = lambda df, name, value=F.lit(None).cast("string"): df.select(
+        "id", F.lit(name).alias("mark"), value.alias("guess"))
+    marks = mark(tenders, "row").unionByName(mark(disliked, "direct")).unionByName(mark(watched, "starred")) \
+        .unionByName(mark(hits, "guess", guess)).where("id IS NOT NULL")
+    has = lambda name: F.bool_or(F.col("mark") == name).alias(name)
+    by_id = marks.groupBy("id").agg(has("row"), has("direct"), has("starred"), F.max("guess").alias("guess")).where("row")
+    reason = F.when(F.col("direct"), F.lit("odmítnuto 👎")).when(~F.col("starred"), F.col("guess"))
+    return by_id.select("id", reason.alias("reason")).where("reason IS NOT NULL")
