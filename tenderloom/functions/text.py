@@ -238,21 +238,24 @@ def html_unescape(c: Column | str) -> Column:
         ).otherwise(digits.try_cast("bigint"))
         return F.when(ref.startswith("#"), from_code(number)).otherwise(from_name(ref))
 
-    # each distinct reference is looked up once; the text is put together again from its pieces
-    refs = F.array_distinct(F.regexp_extract_all(text, F.lit("&" + pattern), F.lit(1)))
-    known = F.map_from_entries(F.transform(refs, lambda r: F.struct(r, character(r))))
-    pieces = F.split(text, "&")
+    # Each distinct reference is looked up once, then the text is put together again from its pieces.
+    # What is used several times is bound as the variable of a one-row transform.
+    bind = lambda value, fn: F.get(F.transform(F.array(value), fn), F.lit(0))
 
-    def decoded(characters: Column) -> Column:
-        def piece(p: Column) -> Column:
+    def looked_up(t: Column) -> Column:
+        refs = F.array_distinct(F.regexp_extract_all(t, F.lit("&" + pattern), F.lit(1)))
+        return F.map_from_entries(F.transform(refs, lambda r: F.struct(r, character(r))))
+
+    def decoded(x: Column) -> Column:
+        def piece(p: Column, i: Column) -> Column:
             ref = F.regexp_extract(p, "^" + pattern, 1)
-            return F.concat(F.coalesce(F.try_element_at(characters, ref), F.lit("&")), F.substr(p, F.length(ref) + 1))
+            return F.when(i == 0, p).otherwise(F.concat(
+                F.coalesce(F.try_element_at(x["known"], ref), F.lit("&")), F.substr(p, F.length(ref) + 1)))
 
-        rest = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), piece)
-        return F.concat(F.get(pieces, F.lit(0)), F.array_join(rest, ""))
+        return F.array_join(F.transform(F.split(x["text"], "&"), piece), "")
 
-    whole = F.get(F.transform(F.array(known), decoded), F.lit(0))
-    return F.when(text.contains("&"), whole).otherwise(text)
+    whole = lambda t: bind(F.struct(t.alias("text"), looked_up(t).alias("known")), decoded)
+    return bind(text, lambda t: F.when(t.contains("&"), whole(t)).otherwise(t))
 
 
 def strip_tags(c: Column | str, filler: str = " ") -> Column:

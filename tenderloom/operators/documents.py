@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tenderloom import fixed_values as fv
 from tenderloom.functions import text as tx
+from tenderloom.materialize import materialize
 from tenderloom.operators.filters import list_order, top_k
 from tenderloom.settings import Settings
 
@@ -22,11 +23,10 @@ def page_links(pages: DataFrame) -> DataFrame:
         F.regexp_extract_all("html", pattern, F.lit(2)).alias("anchor"),
     )
     links = pages.select("url", F.posexplode(found).alias("pos", "a"))
-    return links.select(
-        "url", "pos",
-        tx.html_unescape("a.href").alias("href"),
-        tx.fold_text(tx.html_unescape(tx.strip_tags("a.anchor"))).alias("anchor"),
-    )
+    # decoded in a step of its own, because folding names its text several times
+    decoded = links.select(
+        "url", "pos", tx.html_unescape("a.href").alias("href"), tx.html_unescape(tx.strip_tags("a.anchor")).alias("anchor"))
+    return decoded.select("url", "pos", "href", tx.fold_text("anchor").alias("anchor"))
 
 
 def _names_document(text: Column, words) -> Column:
@@ -36,17 +36,20 @@ def _names_document(text: Column, words) -> Column:
 
 def html_strip_links(pages: DataFrame, words) -> DataFrame:
     """(url, doc_url): the first link of each page whose text names the document."""
-    hits = page_links(pages).where(_names_document(F.col("anchor"), words))
-    first = hits.groupBy("url").agg(F.min_by("href", "pos").alias("href"))
+    return _first_named(page_links(pages), words)
+
+
+def _first_named(links: DataFrame, words) -> DataFrame:
+    first = links.where(_names_document(F.col("anchor"), words)).groupBy("url").agg(F.min_by("href", "pos").alias("href"))
     return first.select("url", tx.url_join("url", "href").alias("doc_url"))
 
 
 def find_doc_link(pages: DataFrame, words) -> DataFrame:
     """Like ``html_strip_links``, but a page without a hit may use one of its linked
     document sub-pages (stored in the same table), taken in link order."""
-    direct = html_strip_links(pages, words)
-    rest = pages.join(direct.select("url"), "url", "left_anti")
-    sub = page_links(rest).where(
+    links = materialize(page_links(pages), "links")         # decoded and folded once, read three times
+    direct = _first_named(links, words)
+    sub = links.join(direct.select("url"), "url", "left_anti").where(
         F.col("anchor").contains(fv.DOC_SUBPAGE_WORD) | tx.fold_text("href").contains(fv.DOC_SUBPAGE_WORD)
     ).select("url", "pos", tx.url_join("url", "href").alias("sub_url"))
     via = (

@@ -211,6 +211,13 @@ def amendment_rows(contracts: DataFrame) -> DataFrame:
     )
 
 
+def latest_amendments(amendments: DataFrame) -> DataFrame:
+    """The last record of each amendment, which is all that ``amendment_attach`` looks at."""
+    return amendments.groupBy("contract_id", "amendment_id").agg(
+        F.max_by(F.struct("date", "value", "url", "ord"), "ord").alias("a")
+    ).select("contract_id", "amendment_id", "a.*")
+
+
 def amendment_attach(links: DataFrame, amendments: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Amendments of each link: last record per amendment id, the earliest ones kept.
 

@@ -26,6 +26,7 @@ class DailyResult(NamedTuple):
     changes: DataFrame
     competition: DataFrame
     metrics: DataFrame
+    source_rows: DataFrame      # (number, rows) of each source that has records, in the order given
 
 
 def conform(tenders: DataFrame) -> DataFrame:
@@ -79,6 +80,5 @@ def daily_build(
     log = ch.change_log_maintain(change_log, news, result, today, settings)
     competition = build_competition(everything, archive, gazetteer, today, settings)
     metrics = run_metrics(result, log, competition, previous)
-    return DailyResult(tender_order(result), log, competition, metrics)
-
-
+    source_rows = everything.groupBy(F.shiftright("ord", SOURCE_SHIFT).alias("number")).agg(F.count("*").alias("rows"))
+    return DailyResult(tender_order(result), log, competition, metrics, source_rows)

@@ -72,6 +72,14 @@ CHANGE = (
 LINK = (
     "tender_id string,contract_id string,url string,date date,price double,confidence string"
 )
+CONTRACT = (
+    "id string,verze string,url string,platny boolean,ico_zadavatel string,"
+    "parties array<struct<ico:string,nazev:string>>,predmet string,datum string,hodnota double,"
+    "parent string,ord long"
+)
+WATCHED = (
+    "id string,contract_id string,url string,date date,price double,supplier string"
+)
 AMENDMENT = (
     "contract_id string,amendment_id string,date string,value double,url string,ord long"
 )

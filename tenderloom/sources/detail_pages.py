@@ -19,6 +19,22 @@ def _clean(pattern: str) -> Column:
     return tx.blank_to_null(tx.squeeze(tx.strip_tags(tx.first_group("html", pattern))))
 
 
+def listed_details(listings: DataFrame) -> DataFrame:
+    """(key, path, url, pos) of the detail pages that a listing (key, profile_url, html) names, each
+    once, in the order of the listing."""
+    paths = F.array_distinct(F.regexp_extract_all("html", F.lit(fv.DETAIL_LINK_PATTERN), F.lit(1)))
+    return listings.select("key", "profile_url", F.posexplode(paths).alias("pos", "path")).select(
+        "key", "path", F.concat(F.rtrim(F.col("profile_url"), F.lit("/")), F.lit("/"), "path").alias("url"), "pos")
+
+
+def details_of_listings(listings: DataFrame, pages: DataFrame) -> DataFrame:
+    """Tenders of all pages (url, html) that the listings (key, profile_url, html, buyer, ico) name; a
+    page that was not fetched is left out."""
+    buyers = listings.select("key", F.col("buyer").alias("profile_buyer"), F.col("ico").alias("profile_ico"))
+    wanted = listed_details(listings).join(buyers, "key")
+    return mine_detail_html(wanted.join(pages.select("url", "html"), "url"))
+
+
 def mine_detail_html(pages: DataFrame) -> DataFrame:
     """Pages (key, url, path, html, profile_buyer, profile_ico) to the tender model.
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenderloom import fixed_values as fv
 from tenderloom.functions import text as tx
 from tenderloom.schemas import FEED_ITEM
 from tenderloom.sources.order import in_file_order
+from tenderloom.sources.profiles import normalize_profiles
 
 
 def read_feed(spark: SparkSession, path: str) -> DataFrame:
@@ -37,3 +38,16 @@ def feed_buyers(items: DataFrame, pages: DataFrame, known: DataFrame) -> DataFra
     return found.groupBy("ico").agg(
         F.min_by(F.struct("profile_url", "buyer", "seat"), "ord").alias("f")
     ).select("ico", "f.*")
+
+
+def feed_key(ico: Column) -> Column:
+    """The profile key of a buyer that the feed has brought."""
+    return F.concat(F.lit(fv.FEED_PREFIX.removeprefix(fv.PROFILE_PREFIX)), ico)
+
+
+def feed_tenders(records: DataFrame, buyers: DataFrame) -> DataFrame:
+    """Exported records (with the ``feed_key`` in ``key``) of the feed's buyers to the tender model.
+    The buyer's seat goes along, which locates tenders that name no place."""
+    profiles = buyers.select(feed_key(F.col("ico")).alias("key"), "buyer", "ico", "profile_url")
+    seats = buyers.select(F.concat(F.lit(fv.FEED_PREFIX), "ico").alias("source"), F.col("seat").alias("authority_seat"))
+    return normalize_profiles(records, profiles).join(seats, "source")
