@@ -353,6 +353,21 @@ def mine_detail_html(spark, sf):
 
 
 # --- pages and documents -----------------------------------------------------
+@query("""
+SELECT key, 'contract_display_' || n || '.html' AS path, 'https://b.example.org/' || key || '/contract_display_' || n || '.html' AS url,
+  CAST(row_number() OVER (PARTITION BY key ORDER BY first) - 1 AS INT) AS pos
+FROM (SELECT CAST(o_custkey AS VARCHAR) AS key, CAST(o_orderkey % 7 AS VARCHAR) AS n, min(o_orderkey) AS first FROM orders GROUP BY ALL)""")
+def listed_details(spark, sf):
+    # a listing per customer, with a link for every order; several lead to the same page
+    anchor = F.concat(F.lit('<li><a class="x" href="'), F.when(F.col("o_orderkey") % 2 == 0, "/").otherwise(""),
+                      F.lit("contract_display_"), (F.col("o_orderkey") % 7).cast("string"), F.lit('.html">Oprava</a> <a href="/other.html">'))
+    listings = table(spark, sf, "orders").groupBy(F.col("o_custkey").cast("string").alias("key")).agg(
+        F.sort_array(F.collect_list(F.struct("o_orderkey", anchor.alias("a")))).alias("links"))
+    return sd.listed_details(listings.select(
+        "key", F.concat(F.lit("https://b.example.org/"), "key", F.lit("/")).alias("profile_url"),
+        F.array_join(F.transform("links", lambda x: x["a"]), "\n").alias("html")))
+
+
 LINKS_SQL = r"""
 links AS (SELECT url, unnest(list_transform(h, lambda x, i: {'pos': i - 1, 'href': x, 'anchor': lower(strip_accents(
      replace(regexp_replace(a[i], '<[^>]+>', ' ', 'g'), '&amp;', '&')))}), recursive := true)
