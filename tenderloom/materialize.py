@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _written: dict[str, list[str]] = {}     # paths of each application
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -31,10 +32,20 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     """Writes the rows once, as Parquet, and reads them back: lineage ends there, they survive the
-    loss of executors, and later steps read only the columns they need."""
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    loss of executors, and later steps read only the columns they need. Nothing reads the shuffle
+    files of the write after it, so Spark is asked to free them when it ends."""
+    spark = df.sparkSession
+    path = new_path(spark, name)
+    before = spark.conf.get(_FREE_SHUFFLES, None)
+    spark.conf.set(_FREE_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_FREE_SHUFFLES)
+        else:
+            spark.conf.set(_FREE_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def remove_materialized(spark: SparkSession) -> int:
