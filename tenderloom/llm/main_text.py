@@ -42,7 +42,7 @@ _SIBLINGS = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "
 _NAMES = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|banner|sponsor(?:ed)?|promo(?:tion)?|cookies?|consent|gdpr|notices?|"
     r"alerts?|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|share|sharing|social|comments?|disqus|reply|"
-    r"replies|respond|sidebar|side|widget|related|recommend(?:ed|ations)?|trending|popular|menu|nav|navbar|navigation|"
+    r"replies|respond|sidebar|side(?=$|\s)|widget|related|recommend(?:ed|ations)?|trending|popular|menu|nav|navbar|navigation|"
     r"breadcrumbs?|pagination|pager|footer|foot|header|masthead|topbar|toolbar|copyright|legal|disclaimer|search|tags?|"
     r"byline|contentinfo|complementary|hidden)(?:$|[\s_\d-])", re.I)
 _BODY_NAMES = re.compile(r"(?:^|[\s_-])(?:article|article-?body|post-?body|post-?content|entry-?content|story|story-?body|main-?content|body-?text)(?:$|[\s_-])", re.I)
@@ -75,7 +75,7 @@ def blocks_of(page: str) -> list[Block]:
     stack: list[tuple[str, int, int]] = []          # element, furniture depth, article depth
     pieces: list[str] = []
     linked_pieces: list[str] = []
-    anchors = furniture = article = 0
+    anchors = furniture = article = opened = 0      # a link ends with the element it was opened in
 
     def flush() -> None:
         text = " ".join("".join(pieces).split())
@@ -87,11 +87,13 @@ def blocks_of(page: str) -> list[Block]:
         linked_pieces.clear()
 
     def leave(count: int) -> None:
-        nonlocal furniture, article
+        nonlocal furniture, article, anchors
         for _ in range(count):
             _, f, a = stack.pop()
             furniture -= f
             article -= a
+        if len(stack) < opened:
+            anchors = 0
 
     at = 0
     while at < len(page):
@@ -113,15 +115,14 @@ def blocks_of(page: str) -> list[Block]:
                 at = end.end() if end else len(page)
             continue
         if name == "a":
-            anchors = 0 if closing else 1
+            anchors, opened = 0 if closing else 1, len(stack)
         if name == "br":
             pieces.append(" ")
             if anchors:
                 linked_pieces.append(" ")
         if name in _INLINE:
             continue
-        flush()
-        anchors = 0
+        flush()                     # a link may hold whole blocks
         if closing:
             for depth in range(len(stack) - 1, -1, -1):
                 if stack[depth][0] == name:

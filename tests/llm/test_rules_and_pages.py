@@ -126,6 +126,17 @@ def test_main_text_of_pages(spark):
     assert main_text.extract_text(df.limit(0)).count() == 0
 
 
+def test_links_around_blocks_and_names_that_only_look_like_furniture():
+    tree = main_text.train()
+    first, second = (" ".join(f"{w}{i}" for i in range(14)) for w in ("alpha", "beta"))
+    box = f'<article><p>{first}</p><a href="/x"><div>Read more</div></a><p>{second}</p></article>'
+    assert main_text.extract(box, tree) == f"{first}\n{second}"
+    # a link that is never closed ends with its paragraph
+    assert main_text.extract(f'<article><p>{first} <a name="top">x</p><p>{second}</p></article>', tree) == f"{first} x\n{second}"
+    named = f'<main><p>{first}</p><div class="side-effects"><p>{second}</p></div><div class="side">{first}</div></main>'
+    assert main_text.extract(named, tree) == f"{first}\n{second}"
+
+
 def test_tree_fits_its_table_and_long_tags_are_read_in_time():
     rows = np.array(main_text.LABELLED, float)
     assert (main_text.decide(main_text.train(), rows[:, :-1]) == rows[:, -1]).mean() > 0.95
