@@ -139,9 +139,8 @@ def _parts(items: DataFrame, id_column: str, text_column: str, window: int, part
 def find_items(docs: DataFrame, items: DataFrame, *, text: str = "text", item_id: str = "item_id",
                item_text: str = "text", window: int = WINDOW, part_bytes: int = ITEM_BYTES) -> DataFrame:
     """The documents with n_words, hit_spans (word ranges), n_hit and items (sorted as strings)."""
-    shared = [docs.sparkSession.sparkContext.broadcast(p)
-              for p in _parts(items, item_id, item_text, window, part_bytes)]
-    return frames.map_texts(docs, text, _FIELDS, lambda column: _judge(column, [b.value for b in shared]))
+    shared = tuple(frames.Shared(docs.sparkSession, p) for p in _parts(items, item_id, item_text, window, part_bytes))
+    return frames.map_texts(docs, text, _FIELDS, lambda column, *parts: _judge(column, list(parts)), shared=shared)
 
 
 def _cut(column: pa.Array, parts: list[Index]) -> list[pa.Array]:
@@ -174,10 +173,9 @@ def remove_items(docs: DataFrame, items: DataFrame, *, text: str = "text", item_
                  item_text: str = "text", window: int = WINDOW, part_bytes: int = ITEM_BYTES) -> DataFrame:
     """The documents with every hit span cut out of the text, and n_cut words. A document of which
     no word is left is removed; one that had no words before stays as it is."""
-    shared = [docs.sparkSession.sparkContext.broadcast(p)
-              for p in _parts(items, item_id, item_text, window, part_bytes)]
+    shared = tuple(frames.Shared(docs.sparkSession, p) for p in _parts(items, item_id, item_text, window, part_bytes))
     fields = [T.StructField(text, T.StringType()), T.StructField("n_cut", T.LongType())]
     source = frames.without(docs, ["_before"]).withColumn("_before", F.col(text))
-    cut = frames.map_texts(source, "_before", fields, lambda column: _cut(column, [b.value for b in shared]), keep=False)
+    cut = frames.map_texts(source, "_before", fields, lambda column, *parts: _cut(column, list(parts)), keep=False, shared=shared)
     # the word class of this operator, in the regular expressions of the JVM
     return cut.where((F.col("n_cut") == 0) | F.col(text).rlike(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,11 +20,12 @@ def without(df: DataFrame, names: list[str]) -> DataFrame:
 
 
 def map_texts(df: DataFrame, column: str, fields: list[T.StructField],
-              fn: Callable[[pa.Array], list[pa.Array]], keep: bool = True) -> DataFrame:
+              fn: Callable[..., list[pa.Array]], keep: bool = True, shared: tuple[Shared, ...] = ()) -> DataFrame:
     """Adds columns computed from a text column, one Arrow batch at a time and without a shuffle.
 
-    Columns of the same names are replaced. ``fn`` gets the texts and returns one array per field.
-    With ``keep`` false the text itself is not returned.
+    Columns of the same names are replaced. ``fn`` gets the texts, and the shared objects if there are
+    any, which each task loads once; it returns one array per field. With ``keep`` false the text
+    itself is not returned.
     """
     names = [f.name for f in fields]
     source = "_text_in"
@@ -33,9 +35,10 @@ def map_texts(df: DataFrame, column: str, fields: list[T.StructField],
     schema = T.StructType([f for f in frame.schema.fields if f.name != source] + fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        loaded = [s.value for s in shared]
         for batch in batches:
             at = batch.schema.get_field_index(source)
-            made = fn(batch.column(at))
+            made = fn(batch.column(at), *loaded)
             arrays = [batch.column(i) for i in range(batch.num_columns) if i != at] + made
             yield pa.RecordBatch.from_arrays(arrays, names=[*rest, *names])
 
@@ -45,6 +48,18 @@ def map_texts(df: DataFrame, column: str, fields: list[T.StructField],
 stored = materialize
 
 
+class Shared:
+    """A broadcast object of this package. Broadcast values are pickled by reference to their classes,
+    which workers need not have, so the object travels as bytes that bring its classes along."""
+
+    def __init__(self, spark: SparkSession, value: object):
+        self._bytes = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    @property
+    def value(self) -> object:
+        return cloudpickle.loads(self._bytes.value)
+
+
 def rows_of_texts(df: DataFrame, column: str, carry: list[str], fields: list[T.StructField],
                   fn: Callable[[pa.RecordBatch, pa.Array], Iterator[tuple[pa.Array, list[pa.Array]]]]) -> DataFrame:
     """Any number of rows per text. ``fn`` gets the batch and its texts, and yields the batch rows

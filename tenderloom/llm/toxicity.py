@@ -1,20 +1,21 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling, in numpy.
 
 The input of each word is the sum of a word vector and of the vectors of its character n-grams
-(3 and 4 characters, with marks for the word's ends), all found by hashing, so unseen words and
+(2 to 5 characters, with marks for the word's ends), all found by hashing, so unseen words and
 inflected forms have inputs too. A gated recurrent unit runs over a window of ``WINDOW`` words
 forwards, another one backwards; attention pools their states, and a logistic unit scores the
 pool. Windows overlap by half and cover every whole text; a document has the score of its worst
 window.
 
 The model is trained on the driver with the labelled rows of a bounded sample: at most ``SAMPLE``
-documents of each label and at most ``TRAIN_CHARS`` characters each (longer ones are not chosen;
-nothing is cut). A document teaches through its windows in proportion to how toxic they look.
+documents of each label, of any length. One of over ``TRAIN_WORDS`` words teaches by ``STRETCHES``
+stretches of that many words together, spread evenly from its first word to its last. A document
+teaches through its windows in proportion to how toxic they look.
 Scoring sees whole texts only. Each distinct word of a block is looked up once, and the network
 runs over all windows of a block side by side.
 
 Defined cases: a text without words is one window of padding and gets a score; null is empty;
-without labels of both kinds every score is 0.5; repeated rows are judged alike; other columns
+without labels of both kinds every score is 0 (1 if all are toxic); repeated rows are judged alike; other columns
 pass through, and those named like the outputs are replaced; null labels or ids teach nothing.
 """
 
@@ -34,13 +35,15 @@ from tenderloom.llm.words import Words, mix, word_blocks
 WINDOW = 24
 STRIDE = 12
 SAMPLE = 1000               # labelled documents of each label
-TRAIN_CHARS = 2500
+TRAIN_WORDS = 768           # words that one document teaches by
+STRETCHES = 8
 EPOCHS = 4
-INPUTS = 8
-STATES = 8
+STEPS = 60                  # at least; small samples are gone through more often
+INPUTS = 16
+STATES = 16
 WORD_ROWS = 1 << 14
 GRAM_ROWS = 1 << 15
-GRAMS = (3, 4)
+GRAMS = (2, 3, 4, 5)
 SEED = 11
 _SIDE_BY_SIDE = 2048        # windows that run together
 
@@ -217,13 +220,14 @@ def _by_row(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarra
 @dataclass
 class Model:
     network: Network | None
+    unlearnt: float = 0.0       # every score, if nothing was learnt
 
     def scores(self, column: pa.Array) -> np.ndarray:
         """Score of the worst window of each text."""
         out = []
         for block in word_blocks(column, "space", lower=True):
             if self.network is None:
-                out.append(np.full(len(block), 0.5))
+                out.append(np.full(len(block), self.unlearnt))
                 continue
             x = inputs_of(block)
             projected = self.network.project(self.network.vectors(x))
@@ -233,10 +237,11 @@ class Model:
         return np.concatenate(out) if out else np.zeros(0)
 
 
-def train(texts: list[str], toxic: np.ndarray, *, epochs: int = EPOCHS, seed: int = SEED, batch: int = 64) -> Model:
+def train(texts: list[str], toxic: np.ndarray, *, epochs: int | None = None, seed: int = SEED, batch: int = 64) -> Model:
     """The network, by Adam on the logistic loss of a document's soft maximum over windows."""
     if not toxic.any() or toxic.all():
-        return Model(None)
+        return Model(None, unlearnt=float(len(toxic) > 0 and toxic.all()))
+    epochs = epochs or max(EPOCHS, -(-STEPS * batch // len(texts)))
     network = Network.fresh(seed)
     rng = np.random.default_rng(seed)
     first = {k: np.zeros_like(v) for k, v in network.p.items()}
@@ -268,16 +273,33 @@ def train(texts: list[str], toxic: np.ndarray, *, epochs: int = EPOCHS, seed: in
     return Model(network)
 
 
+def excerpt(column: pa.Array, n_words: int = TRAIN_WORDS, stretches: int = STRETCHES) -> pa.Array:
+    """Texts of up to ``n_words`` words as they are, of longer ones evenly spread stretches of words."""
+    size = n_words // stretches
+    out = []
+    for block in word_blocks(column, "space", lower=False):
+        for i in range(len(block)):
+            a, b = int(block.bounds[i]), int(block.bounds[i + 1])
+            if b - a <= n_words:
+                spans = [(block.text_starts[i], block.text_starts[i + 1])]
+            else:
+                firsts = a + np.arange(stretches) * (b - a - size) // (stretches - 1)
+                spans = [(block.starts[f], block.ends[f + size - 1]) for f in firsts]
+            out.append(b" ".join(block.data[x:y].tobytes() for x, y in spans).decode())
+    return pa.array(out, pa.string())
+
+
 def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
-        sample: int = SAMPLE, chars: int = TRAIN_CHARS) -> Model:
+        sample: int = SAMPLE, words: int = TRAIN_WORDS) -> Model:
     """A model from a bounded sample of the labelled rows, taken by the hash of the id."""
     known = labels.select(F.col(doc_id).alias("_id"), (F.col(label) > 0).alias("_toxic")).dropna().distinct()
     by_hash = [F.xxhash64("_id"), "_id"]
-    # twice the sample, as long texts are left out afterwards
+    # more ids than the sample, as some have no document
     chosen = known.where("_toxic").orderBy(*by_hash).limit(2 * sample).unionByName(
         known.where("NOT _toxic").orderBy(*by_hash).limit(2 * sample))
-    rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).cast("string").alias("_text")).join(chosen, "_id") \
-        .where(F.length("_text") <= chars)
+    whole = docs.select(F.col(doc_id).alias("_id"), F.col(text).cast("string").alias("_whole")).join(chosen, "_id")
+    rows = frames.map_texts(whole, "_whole", [T.StructField("_text", T.StringType())],
+                            lambda column: [excerpt(column, words)], keep=False)
     both = rows.where("_toxic").orderBy(*by_hash, "_text").limit(sample).unionByName(
         rows.where("NOT _toxic").orderBy(*by_hash, "_text").limit(sample)).select("_text", "_toxic").collect()
     return train([r["_text"] for r in both], np.array([r["_toxic"] for r in both], bool))
@@ -285,11 +307,9 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
 
 def score(docs: DataFrame, model: Model, *, text: str = "text", keep: bool = True) -> DataFrame:
     """The documents with score (0 to 1) and predicted (1 if score >= 0.5)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def judge(column: pa.Array) -> list[pa.Array]:
-        s = shared.value.scores(column)
+    def judge(column: pa.Array, network: Model) -> list[pa.Array]:
+        s = network.scores(column)
         return [pa.array(s, pa.float64()), pa.array((s >= 0.5).astype(np.int32), pa.int32())]
 
     fields = [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]
-    return frames.map_texts(docs, text, fields, judge, keep=keep)
+    return frames.map_texts(docs, text, fields, judge, keep=keep, shared=(frames.Shared(docs.sparkSession, model),))

@@ -1,7 +1,10 @@
 """Word kernel, decontamination, classifiers and packing against plain counterparts."""
 
+import os
 import random
 import re
+import subprocess
+import sys
 import zlib
 
 import numpy as np
@@ -160,6 +163,54 @@ def test_toxicity_learns_word_stems(spark):
     assert toxicity.fit(docs, labels.where("toxic = 0")).network is None
 
 
+def test_toxicity_learns_from_long_texts_only(spark):
+    rng = random.Random(8)
+    plain = ["river", "stone", "cloud", "paper", "garden", "window", "letter", "summer"]
+    rows = []
+    for i in range(30):
+        words = [rng.choice(plain) for _ in range(1500)]
+        if i % 2:
+            words[::12] = ["vileword"] * len(words[::12])
+        rows.append((i, " ".join(words), i % 2))
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.score(docs, model).collect()}
+    assert got == {i: y for i, _, y in rows}
+    nothing = toxicity.fit(docs, labels.where("toxic = 0"))
+    assert {(r["score"], r["predicted"]) for r in toxicity.score(docs, nothing).collect()} == {(0.0, 0)}
+    assert toxicity.score(docs.limit(0), model).count() == 0
+
+
+def test_excerpts_reach_from_the_first_to_the_last_word():
+    texts = [None, "", "a  b\nc", " ".join(map(str, range(1000)))]
+    null, empty, kept, spread = toxicity.excerpt(pa.array(texts, pa.string()), 80, 8).to_pylist()
+    assert (null, empty, kept) == ("", "", "a  b\nc")
+    words = [int(w) for w in spread.split()]
+    assert len(words) == 80 and words[0] == 0 and words[-1] == 999 and words == sorted(set(words))
+    assert max(b - a for a, b in zip(words, words[1:])) < 150
+
+
+def test_workers_need_no_copy_of_the_package(tmp_path):
+    """The driver finds the package, the workers start in another folder."""
+    code = f"""
+import sys
+sys.path.insert(0, {os.getcwd()!r})
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").getOrCreate()
+from tenderloom.llm import decontaminate, toxicity
+docs = spark.createDataFrame([(i, "one two three four " + ("vile" if i % 2 else "nice")) for i in range(8)], "doc_id long, text string")
+labels = docs.selectExpr("doc_id", "int(doc_id % 2) AS toxic")
+assert toxicity.score(docs, toxicity.fit(docs, labels)).count() == 8
+items = spark.createDataFrame([("x", "three four vile")], "item_id string, text string")
+assert decontaminate.find_items(docs, items).where("n_hit = 3").count() == 4
+assert decontaminate.remove_items(docs, items).where("n_cut = 3").count() == 4
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-3000:]
+
+
 def test_network_gradients_match_differences():
     network = toxicity.Network.fresh(3)
     block = next(word_blocks(pa.array(["one two three", "four " * 40, ""]), "space"))
