@@ -45,7 +45,7 @@ WORD_ROWS = 1 << 14
 GRAM_ROWS = 1 << 15
 GRAMS = (2, 3, 4, 5)
 SEED = 11
-_SIDE_BY_SIDE = 2048        # windows that run together
+_SIDE_BY_SIDE = 512         # windows that run together
 
 
 @dataclass
@@ -124,27 +124,34 @@ class Network:
         """The input vector of every distinct word; row 0 is padding."""
         out = self.p["words"][x.word].copy()
         n = np.diff(x.gram_starts)
-        if len(x.gram):
-            filled = np.flatnonzero(n)
-            sums = np.add.reduceat(self.p["grams"][x.gram], x.gram_starts[filled], axis=0)
-            out[filled] += sums / np.sqrt(n[filled])[:, None].astype(np.float32)
+        for k in np.unique(n[n > 0]):                           # words of equally many n-grams together
+            rows = np.flatnonzero(n == k)
+            grams = x.gram[x.gram_starts[rows] + np.arange(k)[:, None]]
+            out[rows] += self.p["grams"].take(grams, axis=0).sum(0) / np.float32(np.sqrt(k))
         return out
 
     def forward(self, projected: np.ndarray, windows: np.ndarray, trace: dict | None = None) -> np.ndarray:
         """Logits of windows. projected: (2, distinct words, 3 states)."""
         s = STATES
         there = windows > 0
+        full = there.all(0)
         states = np.zeros((2, WINDOW, len(windows), s), np.float32)
         gates = np.zeros((2, WINDOW, len(windows), 3 * s), np.float32) if trace is not None else None
         for k in range(2):
             u = self.p["u"][k]
+            open_reset, candidate = np.ascontiguousarray(u[:, :2 * s]), np.ascontiguousarray(u[:, 2 * s:])
             h = np.zeros((len(windows), s), np.float32)
             for t in range(WINDOW) if k == 0 else range(WINDOW - 1, -1, -1):
-                x = projected[k][windows[:, t]]
-                rz = _sigmoid(x[:, :2 * s] + h @ u[:, :2 * s])
+                x = projected[k].take(windows[:, t], axis=0)
+                rz = h @ open_reset
+                rz += x[:, :2 * s]
+                rz = _sigmoid(rz)
                 r, z = rz[:, :s], rz[:, s:]
-                c = np.tanh(x[:, 2 * s:] + (r * h) @ u[:, 2 * s:])
-                z = z * there[:, t, None]                       # padding leaves the state as it is
+                c = (r * h) @ candidate
+                c += x[:, 2 * s:]
+                np.tanh(c, out=c)
+                if not full[t]:
+                    z = z * there[:, t, None]                   # padding leaves the state as it is
                 if gates is not None:
                     gates[k, t] = np.concatenate((r, z, c), axis=1)
                 h = h + z * (c - h)
