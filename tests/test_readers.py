@@ -94,3 +94,17 @@ def test_compressed_and_many_small_files(spark, tmp_path, small_splits):
         [f"{i:02d}-{j:03d}" for i in range(6, 30) for j in range(i % 4)]
     assert ordered(in_file_order(scan, [str(tmp_path)]), "value") == want
     assert file_starts(spark, [str(tmp_path)]).count() == 23      # those that are not empty
+
+
+def test_records_are_numbered_without_an_exchange(spark, tmp_path, monkeypatch):
+    # Spark takes the listing of large files for a large table; the records must not be shuffled to meet it
+    spark.createDataFrame([("a",), ("b",)], "v string").coalesce(1).write.text(str(tmp_path / "x"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        read = in_file_order(spark.read.text(str(tmp_path / "x")), [str(tmp_path / "x")])
+        plan = read._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert [r["value"] for r in read.orderBy("ord").collect()] == ["a", "b"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
