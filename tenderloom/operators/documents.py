@@ -93,13 +93,12 @@ def profile_doc_lookup(tenders: DataFrame, exports: DataFrame, words) -> DataFra
     wanted = tenders.select(
         "id", "base", F.posexplode(F.array("native_id", "registry_id")).alias("prio", "key")
     ).where(F.coalesce("key", F.lit("")) != "")
-    offered = exports.select(
-        "base", "ord", F.explode(F.array_distinct("ids")).alias("key"), "docs"
-    ).select("base", "ord", "key", F.posexplode("docs").alias("pos", "doc")).where(
-        _names_document(tx.fold_text("doc.typ"), words) & (F.col("doc.url") != "")
-    )
+    # documents are judged once, before each is offered under every id of its record
+    offered = exports.select("base", "ord", "ids", F.posexplode("docs").alias("pos", "doc")).where(
+        F.col("doc.url") != "").where(_names_document(tx.fold_text("doc.typ"), words)).select(
+        "base", "ord", F.explode(F.array_distinct("ids")).alias("key"), "pos", F.col("doc.url").alias("url"))
     return wanted.join(offered, ["base", "key"]).groupBy("id").agg(
-        F.min_by("doc.url", F.struct("prio", "ord", "pos")).alias("doc_url")
+        F.min_by("url", F.struct("prio", "ord", "pos")).alias("doc_url")
     )
 
 
