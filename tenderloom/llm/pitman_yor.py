@@ -12,13 +12,17 @@ How the corpus meets the model without either being whole anywhere:
 1. ``_chunks``: texts are gathered into chunks of bounded size. A chunk is written as a stream row (the
    distinct pairs of each text, as small numbers) and, for every bucket of contexts, a row with the
    chunk's distinct pairs and their counts in training texts. All later steps read this one exchange.
-2. ``_vocabulary``: a bucket merges its rows into restaurants, and tells the buckets of words how often
-   each word was served and in how many restaurants.
-3. ``_parents``: a bucket of words seats the parent's customers (one from each restaurant that serves
-   the word: the children's seating that sampling starts from), and replies to the buckets of contexts.
-4. ``_children``: a bucket seats the customers of its restaurants, given the parent, and answers every
-   chunk with the log probability of each of its pairs and the count of its word.
-5. ``_texts``: a chunk's texts sum up the answers.
+2. ``_vocabulary``: a bucket merges its rows into restaurants and seats their customers, with its own
+   tables in place of the parent (the state that sampling starts from). It tells the buckets of words
+   how often each word was served and at how many tables.
+3. ``_parents``: a bucket of words seats the parent's customers, one from each table of the children, and
+   replies to the buckets of contexts.
+4. ``_tables``: a bucket seats the customers of its restaurants, given the parent, and sends the tables
+   of each word to the buckets of words, for ``_parents`` to seat anew. Parent and children take
+   ``rounds`` turns; given the parent's predictions, its children are independent of each other.
+5. ``_children``: a bucket seats the customers of its restaurants, given the last parent, and answers
+   every chunk with the log probability of each of its pairs and the count of its word.
+6. ``_texts``: a chunk's texts sum up the answers.
 
 A context that makes up more than half a bucket's share of all words is served in several buckets, by
 hash of the dish; its totals are summed over them (``_hot``), so no context gathers in one task. Which
@@ -32,7 +36,7 @@ scored each. Without training texts every word is unknown (scores are 0). Empty
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -57,7 +61,10 @@ _END, _START = np.uint64(0x5EED0000000000E5), np.uint64(0x5EED000000000057)
 
 @dataclass(frozen=True)
 class Model:
-    """Discounts and strengths of the restaurants of pairs and of their parent, and the sampler's course."""
+    """Discounts and strengths of the restaurants of pairs and of their parent, and the sampler's course.
+
+    The children start with ``first`` sweeps without the parent, and then parent and children are seated
+    ``rounds`` times, each after ``burn_in`` sweeps. Predictions are averaged over ``samples``."""
 
     discount: float = 0.75
     strength: float = 1.0
@@ -65,6 +72,8 @@ class Model:
     parent_strength: float = 10.0
     burn_in: int = 1
     samples: int = 2
+    rounds: int = 2
+    first: int = 4
     seed: int = 11
 
 
@@ -126,14 +135,17 @@ def _unpack_scores(data: bytes) -> np.ndarray:
 # -- seating -------------------------------------------------------------------------------------
 
 def seat(customers: np.ndarray, house: np.ndarray, base: np.ndarray, discount: float, strength: float, *,
-         others: np.ndarray, rng: np.random.Generator, burn_in: int, samples: int, shares: int = 1) -> np.ndarray:
+         others: np.ndarray, rng: np.random.Generator, burn_in: int, samples: int, shares: int | np.ndarray = 1,
+         predict: Callable[[np.ndarray], np.ndarray] | None = None) -> np.ndarray:
     """Tables of every dish, averaged over the samples.
 
     ``customers`` of a dish sit in restaurant ``house``; ``base`` is what the parent predicts for the
     dish, ``others`` the tables of each restaurant that are seated elsewhere. All dishes take one
     customer at a time side by side; a restaurant's number of tables is that before this step. With
-    ``shares`` the rows at hand are one of so many equal shares of the restaurant.
+    ``shares`` the rows at hand are one of so many equal shares of the restaurant. After every sweep,
+    ``predict`` makes the parent's predictions anew from the tables.
     """
+    shares = np.broadcast_to(shares, len(others))
     tables = np.minimum(customers, 1).astype(np.float64)
     busy = np.flatnonzero(customers > 1)
     if not len(busy):
@@ -151,7 +163,7 @@ def seat(customers: np.ndarray, house: np.ndarray, base: np.ndarray, discount: f
     def weight(n: int | np.ndarray) -> np.ndarray:
         at = house_of[n] if isinstance(n, np.ndarray) else house_of[:n]
         share = chance[n] if isinstance(n, np.ndarray) else chance[:n]
-        return (strength + discount * (total[at] * shares + others[at])) * share
+        return (strength + discount * (total[at] * shares[at] + others[at])) * share
 
     def sweep(again: bool) -> None:
         for i, n in enumerate(n_at):
@@ -201,6 +213,9 @@ def seat(customers: np.ndarray, house: np.ndarray, base: np.ndarray, discount: f
     sweep(False)
     mean = np.zeros(len(busy))
     for i in range(burn_in + samples):
+        if predict:
+            tables[busy] = open_ + extra
+            chance[:] = predict(tables)[busy]
         sweep(True)
         if i >= burn_in:
             mean += open_ + extra
@@ -373,32 +388,62 @@ _REPLY = ("key int, place int, words binary, served binary, houses binary, table
           "n_served long, n_words long, n_houses long, n_tables double")
 
 
-def _vocabulary(key: tuple, rows: pa.Table, n_buckets: int) -> pa.Table:
+def _dealt(names: np.ndarray, n_buckets: int) -> list[np.ndarray]:
+    """Which of the names have their place in each bucket, in their order."""
+    place = (mix(names) % np.uint64(n_buckets)).astype(np.int64)
+    return np.split(np.argsort(place, kind="stable"), np.cumsum(np.bincount(place, minlength=n_buckets))[:-1])
+
+
+def _first_tables(b: _Bucket, model: Model, rng: np.random.Generator, shares: np.ndarray) -> np.ndarray:
+    """Tables of the pairs of a bucket by itself: its tables of a word predict the word, as the parent will.
+    A split context has but one share of the words here."""
+    uniform = model.parent_strength / max(1, len(b.words))
+
+    def predict(tables: np.ndarray) -> np.ndarray:
+        guests = np.bincount(b.word, tables, len(b.words))
+        return ((guests + uniform) / (guests.sum() + model.parent_strength))[b.word] / shares[b.context]
+
+    return seat(b.customers, b.context, predict(np.minimum(b.customers, 1)), model.discount, model.strength,
+                others=np.zeros(len(b.contexts)), rng=rng, burn_in=model.first, samples=1, shares=shares, predict=predict)
+
+
+def _vocabulary(key: tuple, rows: pa.Table, n_buckets: int, model: Model = Model(), hot: dict[str, np.ndarray] | None = None) -> pa.Table:
     names = [f.split()[0] for f in _ASK.split(", ")]
     own = key[0].as_py()
     out: list[tuple] = []
     if own < 2 * n_buckets:
         b = _Bucket(rows)
         served = np.bincount(b.word, b.customers, len(b.words)).astype(np.int64)
-        houses = np.bincount(b.word, b.customers > 0, len(b.words)).astype(np.int64)
         split = own >= n_buckets
+        shares = np.ones(len(b.contexts), np.int64)
+        if split and hot:
+            shares = hot["pieces"][np.searchsorted(hot["names"], b.contexts)]
+        tables = _first_tables(b, model, np.random.default_rng([model.seed, 3, own]), shares)
+        houses = np.bincount(b.word, tables, len(b.words)).astype(np.int64)
         guests = np.bincount(b.context, b.customers, len(b.contexts)).astype(np.int64)
-        dishes = np.bincount(b.context, b.customers > 0, len(b.contexts)).astype(np.int64)
-        place, home = mix(b.words) % np.uint64(n_buckets), mix(b.contexts) % np.uint64(n_buckets)
-        for p in range(n_buckets):
-            w = place == p
-            c = (home == p) & split
+        dishes = np.bincount(b.context, tables, len(b.contexts)).astype(np.int64)
+        for p, (w, c) in enumerate(zip(_dealt(b.words, n_buckets), _dealt(b.contexts if split else b.contexts[:0], n_buckets))):
             out.append((p, own, b.words[w].tobytes(), _pack(served[w]), _pack(houses[w]), b.contexts[c].tobytes(),
                         _pack(guests[c]), _pack(dishes[c])))
     types = [pa.int32(), pa.int32()] + [pa.binary()] * 6
     return pa.table([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], names=names)
 
 
-def _parents(key: tuple, rows: pa.Table, n_buckets: int, model: Model) -> pa.Table:
-    """Totals and tables of the words of one place, for every bucket that asked, in the order it asked."""
+def _parents(key: tuple, rows: pa.Table, n_buckets: int, model: Model, sent: pa.Table | None = None, turn: int = 0,
+             last: bool = True) -> pa.Table:
+    """Totals and tables of the words of one place, for every bucket that asked, in the order it asked.
+
+    Customers are the tables that the buckets told of when they asked, or that they ``sent`` since.
+    Only the ``last`` replies have the counts of the words.
+    """
     rows = rows.take(pc.sort_indices(rows, [("key", "ascending")]))
     place = key[0].as_py()
     columns = {c: [x.as_py() for x in rows.column(c)] for c in rows.column_names}
+    if sent is not None:
+        sent = sent.take(pc.sort_indices(sent, [("key", "ascending")]))
+        if sent.column("key").to_pylist() != columns["key"]:
+            raise RuntimeError("tables do not belong to the buckets that asked")
+        columns["houses"], columns["dishes"] = ([x.as_py() for x in sent.column(c)] for c in ("tables", "open"))
     asked = [_hashes(w) for w in columns["words"]]
     words, of = _groups(np.concatenate(asked))
     sums = lambda c, of, n: np.bincount(of, np.concatenate([_unpack(x) for x in columns[c]]), n).astype(np.int64)
@@ -406,26 +451,28 @@ def _parents(key: tuple, rows: pa.Table, n_buckets: int, model: Model) -> pa.Tab
     known = int((served > 0).sum())
     zero = np.zeros(len(words), np.int64)
     tables = seat(houses, zero, np.full(len(words), 1 / (known * n_buckets + 1)), model.parent_discount, model.parent_strength,
-                  others=np.zeros(1), rng=np.random.default_rng([model.seed, 1, place]), burn_in=model.burn_in,
+                  others=np.zeros(1), rng=np.random.default_rng([model.seed, 1, place, turn]), burn_in=model.burn_in,
                   samples=model.samples, shares=n_buckets) if len(words) else np.zeros(0)
     split = [_hashes(c) for c in columns["contexts"]]
     contexts, at = _groups(np.concatenate(split))
     guests, dishes = sums("guests", at, len(contexts)), sums("dishes", at, len(contexts))
-    totals = (int(served.sum()), known, int(houses.sum()), float(tables.astype(np.float32).astype(np.float64).sum()))
+    totals = (int(served.sum()), known, int(houses.sum()), float(tables.sum()))
     out, a, c = [], 0, 0
-    for own, w, s in zip(columns["key"], asked, split):
+    sums_of_tables = np.rint(tables * model.samples).astype(np.int64)       # whole numbers are shorter than their mean
+    for own, w, s, here in zip(columns["key"], asked, split, columns["dishes"]):
         i, j = of[a:a + len(w)], at[c:c + len(s)]
-        out.append((own, place, None, _pack(served[i]), _pack(houses[i]), tables[i].astype(np.float32).tobytes(),
-                    _pack(guests[j]), _pack(dishes[j]), *totals))
+        out.append((own, place, None, _pack(served[i]) if last else None, _pack(houses[i]), _pack(sums_of_tables[i]),
+                    _pack(guests[j]), _pack(dishes[j] - _unpack(here)), *totals))
         a, c = a + len(w), c + len(s)
     types = [pa.int32(), pa.int32()] + [pa.binary()] * 6 + [pa.int64()] * 3 + [pa.float64()]
     return pa.table([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], names=[f.split()[0] for f in _REPLY.split(", ")])
 
 
 class _Seated:
-    """A bucket whose customers are seated, given the replies of the parents."""
+    """A bucket whose customers are seated, given the replies of the parents: averaged over the samples,
+    or for a ``turn`` before the last as one state of the sampler."""
 
-    def __init__(self, own: int, rows: pa.Table, replies: pa.Table, model: Model, split: bool):
+    def __init__(self, own: int, rows: pa.Table, replies: pa.Table, model: Model, split: bool, turn: int | None = None):
         self.b = b = _Bucket(rows)
         replies = replies.filter(pc.greater_equal(replies.column("place"), 0))
         replies = replies.take(pc.sort_indices(replies, [("place", "ascending")]))
@@ -444,21 +491,40 @@ class _Seated:
             return out
 
         of_words = lambda c: gather(b.words, [_unpack(x) for x in columns[c]])
-        self.served, houses = of_words("served"), of_words("houses")
-        tables = gather(b.words, [np.frombuffer(x, np.float32) for x in columns["tables"]]).astype(np.float64)
+        self.served = of_words("served") if turn is None else None
+        houses, tables = of_words("houses"), of_words("tables") / model.samples
         uniform = (model.parent_strength + model.parent_discount * n_tables) / (self.n_words + 1)
         self.parent = (houses - model.parent_discount * tables + uniform) / (model.parent_strength + n_houses)
         self.guests = np.bincount(b.context, b.customers, len(b.contexts)).astype(np.int64)
         others = np.zeros(len(b.contexts))
         if split:
-            here = np.bincount(b.context, b.customers > 0, len(b.contexts))
             self.guests = gather(b.contexts, [_unpack(x) for x in columns["guests"]])
-            others = gather(b.contexts, [_unpack(x) for x in columns["dishes"]]) - here
+            others = gather(b.contexts, [_unpack(x) for x in columns["dishes"]])
         self.tables = seat(b.customers, b.context, self.parent[b.word], model.discount, model.strength, others=others,
-                           rng=np.random.default_rng([model.seed, 2, own]), burn_in=model.burn_in, samples=model.samples)
+                           rng=np.random.default_rng([model.seed, 2, own, 0 if turn is None else turn + 1]), burn_in=model.burn_in,
+                           samples=model.samples if turn is None else 1)
         self.open = np.bincount(b.context, self.tables, len(b.contexts))
 
 
+_SENT = "place int, key int, tables binary, open binary"
+
+
+def _tables(key: tuple, rows: pa.Table, replies: pa.Table, n_buckets: int, model: Model, turn: int) -> pa.Table:
+    """Tables of every word in this bucket, the parent's next customers, and those of its split contexts."""
+    own = key[0].as_py()
+    out: list[tuple] = []
+    if own < 2 * n_buckets and rows.num_rows:
+        s = _Seated(own, rows, replies, model, own >= n_buckets, turn)
+        b = s.b
+        tables = np.bincount(b.word, s.tables, len(b.words)).astype(np.int64)
+        opened = s.open.astype(np.int64)
+        contexts = b.contexts if own >= n_buckets else b.contexts[:0]
+        for p, (w, c) in enumerate(zip(_dealt(b.words, n_buckets), _dealt(contexts, n_buckets))):
+            out.append((p, own, _pack(tables[w]), _pack(opened[c])))
+    types = [pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+    return pa.table([pa.array([r[i] for r in out], t) for i, t in enumerate(types)], names=[f.split()[0] for f in _SENT.split(", ")])
+
+
 _OPENED = T.StructType([T.StructField("key", T.IntegerType()), T.StructField("words", T.BinaryType()),
                         T.StructField("open", T.DoubleType())])
 
@@ -530,6 +596,15 @@ def _scored(stream: dict, answers: pa.Table) -> pa.Table:
     return carried
 
 
+def _next_round(rows: DataFrame, asked: DataFrame, replies: DataFrame, n: int, model: Model, turn: int) -> DataFrame:
+    """Replies of the parents, with the tables that the children open under the last replies as customers."""
+    last = turn == model.rounds - 1
+    sent = rows.groupBy("key").cogroup(replies.groupBy("key")).applyInArrow(
+        lambda k, a, b: _tables(k, a, b, n, model, turn - 1), _SENT)
+    return asked.groupBy("place").cogroup(sent.groupBy("place")).applyInArrow(
+        lambda k, a, b: _parents(k, a, n, model, b, turn, last), _REPLY)
+
+
 def score_texts(docs: DataFrame, train: Column, *, text: str = "text", model: Model = Model(),
                 chunk_tokens: int = CHUNK, bucket_tokens: int = BUCKET) -> DataFrame:
     """The rows (without the text) with n_tokens, n_known, train_tokens, base_score, score and perplexity.
@@ -552,8 +627,10 @@ def score_texts(docs: DataFrame, train: Column, *, text: str = "text", model: Mo
     hot["pieces"] = np.array([by_name[int(w)] for w in hot["names"]], np.int64)
 
     rows = _chunks(source, "_text", "_train", numbered, n, hot, chunk_tokens)
-    asked = rows.groupBy("key").applyInArrow(lambda k, t: _vocabulary(k, t, n), _ASK)
-    replies = asked.groupBy("place").applyInArrow(lambda k, t: _parents(k, t, n, model), _REPLY)
+    asked = rows.groupBy("key").applyInArrow(lambda k, t: _vocabulary(k, t, n, model, hot), _ASK)
+    replies = asked.groupBy("place").applyInArrow(lambda k, t: _parents(k, t, n, model, last=model.rounds < 2), _REPLY)
+    for turn in range(1, model.rounds):
+        replies = _next_round(rows, asked, replies, n, model, turn)
     if pieces:
         opened = rows.groupBy("key").cogroup(replies.where(F.col("key") >= n).groupBy("key")).applyInArrow(
             lambda k, a, b: _hot(k, a, b, n, model), _OPENED)

@@ -148,3 +148,118 @@ def test_repeated_rows_no_training_and_no_rows(spark):
     for r in py.score_texts(docs, F.lit(False)).collect():
         assert (r.n_known, r.train_tokens, r.base_score, round(r.score, 6)) == (0, 0, 0.0, 0.0)
     assert py.score_texts(docs.limit(0), F.lit(True)).count() == 0
+
+
+def after_rounds(texts, train, n, split, model):
+    """Sum of P(word | context) over the pairs of the texts, by the steps of the plan with several rounds."""
+    hot = {"names": np.array(sorted(name(w) for w in split), np.uint64), "pieces": np.full(len(split), 3)}
+    block = next(word_blocks(pa.array(texts), "space"))
+    rows = py._chunk_rows([(block.hashes(), block.counts)], np.array(train), pa.table({"i": range(len(texts))}), n, hot, 5)
+    keys = {r[0]: pa.Table.from_batches([py._row_batch([r])]) for r in rows[:-1]}
+    scalar = lambda x: (pa.scalar(x, pa.int32()),)
+    of = lambda table, column, x: table.filter(py.pc.equal(table[column], x))
+    asked = pa.concat_tables([py._vocabulary(scalar(k), t, n, model, hot) for k, t in keys.items()])
+    replies = pa.concat_tables([py._parents(scalar(p), of(asked, "place", p), n, model) for p in range(n)])
+    for turn in range(1, model.rounds):
+        sent = pa.concat_tables([py._tables(scalar(k), t, of(replies, "key", k), n, model, turn - 1) for k, t in keys.items()])
+        replies = pa.concat_tables([py._parents(scalar(p), of(asked, "place", p), n, model, of(sent, "place", p), turn) for p in range(n)])
+        tables = sum(int(py._unpack(x.as_py()).sum()) for x in sent["tables"])
+        assert tables == sum(of(replies, "key", min(keys))["n_houses"].to_pylist())      # one customer of the parent each
+    seated = {k: py._Seated(k, t, of(replies, "key", k), model, k >= n) for k, t in keys.items()}
+    opened, total = Counter(), Counter()
+    for s in seated.values():
+        opened.update(dict(zip(s.b.contexts.tolist(), s.open.tolist())))
+    for s in seated.values():
+        u = s.b.contexts[s.b.context].tolist()
+        chance = (s.b.customers - model.discount * s.tables + (model.strength + model.discount * np.array([opened[x] for x in u]))
+                  * s.parent[s.b.word]) / (s.guests[s.b.context] + model.strength)
+        for x, c in zip(u, chance.tolist()):
+            total[x] += c
+    return total
+
+
+@pytest.mark.parametrize("n,split", [(1, ()), (3, ()), (3, ("a",)), (4, ("a", "b"))])
+def test_predictions_add_up_to_one_after_rounds(n, split):
+    rng = random.Random(8)
+    words = ["a", "b", "c", "d", "e"]
+    taught = [" ".join(rng.choices(words, [9, 5, 3, 2, 1], k=rng.randrange(1, 30))) for _ in range(60)]
+    asked = [f"{u} {w}" for u in [*words, "new"] for w in [*words, "new"]]
+    total = after_rounds(taught + asked, [True] * len(taught) + [False] * len(asked), n, split, py.Model(rounds=3))
+    for context in [*map(name, words), name("new")]:
+        assert abs(total[context] - 1) < 1e-9
+
+
+def sampled(pairs, asked, model, sweeps=30, burn_in=10):
+    """P(word | context) by plain Gibbs sampling of the whole hierarchy: every table of a restaurant is a
+    customer of the parent, which sits down when the table opens and leaves when it closes."""
+    rng = random.Random(3)
+    children, parent, guests, opened, top = {}, {}, Counter(), Counter(), Counter()
+    uniform = 1 / (len({w for _, w in pairs}) + 1)
+
+    def predicted(w):
+        tables = parent.get(w, ())
+        return (sum(tables) - model.parent_discount * len(tables)
+                + (model.parent_strength + model.parent_discount * top["tables"]) * uniform) / (model.parent_strength + top["guests"])
+
+    def sit(tables, discount, new):
+        x = rng.random() * (sum(tables) - discount * len(tables) + new)
+        for i, size in enumerate(tables):
+            x -= size - discount
+            if x < 0:
+                tables[i] += 1
+                return False
+        tables.append(1)
+        return True
+
+    def leave(tables):
+        i = rng.choices(range(len(tables)), tables)[0]
+        tables[i] -= 1
+        if not tables[i]:
+            del tables[i]
+            return True
+        return False
+
+    mean = Counter()
+    for sweep in range(-1, sweeps):
+        for u, w in pairs:
+            if sweep >= 0:
+                guests[u] -= 1
+                if leave(children[u, w]):
+                    opened[u] -= 1
+                    top["guests"] -= 1
+                    top["tables"] -= leave(parent[w])
+            guests[u] += 1
+            if sit(children.setdefault((u, w), []), model.discount, (model.strength + model.discount * opened[u]) * predicted(w)):
+                opened[u] += 1
+                new = (model.parent_strength + model.parent_discount * top["tables"]) * uniform
+                top["tables"] += sit(parent.setdefault(w, []), model.parent_discount, new)
+                top["guests"] += 1
+        for u, w in asked if sweep >= burn_in else []:
+            tables = children.get((u, w), ())
+            mean[u, w] += (sum(tables) - model.discount * len(tables) + (model.strength + model.discount * opened[u]) * predicted(w)
+                           ) / (model.strength + guests[u]) / (sweeps - burn_in)
+    return mean
+
+
+@pytest.mark.parametrize("bucket_tokens", [1 << 20, 3000])
+def test_tables_of_restaurants_are_customers_of_the_parent(spark, bucket_tokens):
+    """Pairs that are often repeated open many tables, so their words weigh more in the parent than by the
+    number of restaurants that serve them."""
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(120)]
+    weights = [1 / (1 + i) for i in range(120)]
+    follows = {w: rng.choices(words, weights, k=4) for w in words}
+    taught = []
+    for _ in range(500):
+        text = rng.choices(words, weights)
+        for _ in range(14):
+            text.append(rng.choice(follows[text[-1]]) if rng.random() < 0.6 else rng.choices(words, weights)[0])
+        taught.append(text)
+    asked = [["new", w] for w in words[:60]] + [[u, w] for u in words[60:70] for w in words[:10]]
+    walk = lambda text: list(zip(["<", *text], [*text, ">"]))
+    chance = sampled([p for t in taught for p in walk(t)], {p for t in asked for p in walk(t)}, py.Model())
+    want = [sum(math.log10(chance[p]) for p in walk(t)) for t in asked]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(asked + taught)], "doc_id long, text string")
+    rows = py.score_texts(docs, F.col("doc_id") >= len(asked), bucket_tokens=bucket_tokens).where(F.col("doc_id") < len(asked)).collect()
+    off = np.array([r.score for r in sorted(rows)]) - want
+    assert abs(off[:60].mean()) < 0.05 and np.sqrt((off ** 2).mean()) < 0.12
