@@ -53,6 +53,7 @@ from tenderloom.llm import frames
 from tenderloom.llm.words import mix, word_blocks
 
 UNITS = 1024                # customers of a dish that are seated one by one
+FEW = 16                    # customers of a step that are seated without arrays
 CHUNK = 2_000_000           # tokens of a chunk
 BUCKET = 3_000_000          # tokens whose contexts share a bucket
 HOT_SHARE = 1 / 20_000      # contexts of a smaller share of all words are never split
@@ -116,6 +117,21 @@ def _groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ordered[new], of
 
 
+def _named(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same where most values come several times: found by hash, so that only the distinct are sorted."""
+    found = pa.array(keys).dictionary_encode()
+    names = found.dictionary.to_numpy()
+    order = np.argsort(names)
+    rank = np.empty(len(names), np.int32)
+    rank[order] = np.arange(len(names), dtype=np.int32)
+    return names[order], rank.take(found.indices.to_numpy())
+
+
+def _in_order(places: np.ndarray, n: int) -> np.ndarray:
+    """Stable order of numbers below n; numpy sorts short ones by their digits, which takes far less time."""
+    return np.argsort(places.astype(np.uint16 if n <= 1 << 16 else np.int64), kind="stable")
+
+
 def _pack_scores(scores: np.ndarray) -> bytes:
     """Logarithms of chances in 24 bits, to 2^-20; those under -15 are listed behind in full."""
     units = np.rint(np.minimum(-scores, 15.5) * (1 << 20)).astype(np.uint32)
@@ -145,68 +161,134 @@ def seat(customers: np.ndarray, house: np.ndarray, base: np.ndarray, discount: f
     ``shares`` the rows at hand are one of so many equal shares of the restaurant. After every sweep,
     ``predict`` makes the parent's predictions anew from the tables.
     """
-    shares = np.broadcast_to(shares, len(others))
     tables = np.minimum(customers, 1).astype(np.float64)
     busy = np.flatnonzero(customers > 1)
     if not len(busy):
         return tables
     busy = busy[np.argsort(-customers[busy], kind="stable")]
     units = np.minimum(customers[busy], UNITS)
-    first = np.cumsum(units) - units
     house_of, chance = house[busy], base[busy]
     total = np.bincount(house, tables, len(others)) - np.bincount(house_of, minlength=len(others))
-    seats, size = np.zeros(int(units.sum()), np.int32), np.zeros(int(units.sum()), np.int32)
-    open_, extra = np.zeros(len(busy), np.int64), np.zeros(len(busy), np.int64)
     n_at = np.searchsorted(-units, -np.arange(int(units[0])), "left")       # dishes that have a customer i
+    # customer i of dish d is at first[i] + d, so that a step's customers lie side by side; a table is
+    # known by the place of a customer, and ``seats`` has each customer's table
+    first = np.cumsum(n_at) - n_at
+    seats, size = np.zeros(int(units.sum()), np.int64), np.zeros(int(units.sum()), np.int32)
+    open_, extra = np.zeros(len(busy)), np.zeros(len(busy), np.int64)
+    rests = units - 1.0
     large = np.flatnonzero(customers[busy] > units)
-
-    def weight(n: int | np.ndarray) -> np.ndarray:
-        at = house_of[n] if isinstance(n, np.ndarray) else house_of[:n]
-        share = chance[n] if isinstance(n, np.ndarray) else chance[:n]
-        return (strength + discount * (total[at] * shares[at] + others[at])) * share
+    alone = len(others) == 1        # a single restaurant: its total is one number
+    shares = np.broadcast_to(shares, len(others))
+    whole = bool((shares == 1).all() and not others.any())
+    seat_of, size_of, first_of = memoryview(seats), memoryview(size), first.tolist()
+    # views of each step's customers: tables, restaurant, chance, others of the dish, its tables
+    steps = [(a, n, seats[a:a + n], house_of[:n], chance[:n], rests[:n], open_[:n]) for a, n in zip(first_of, n_at.tolist())]
+
+    def weight(at: np.ndarray, share: np.ndarray) -> np.ndarray:
+        if alone:
+            return (strength + discount * (total[0] * shares[0] + others[0])) * share
+        w = total.take(at)
+        if not whole:
+            w *= shares.take(at)
+            w += others.take(at)
+        w *= discount
+        w += strength
+        w *= share
+        return w
+
+    def add(at: np.ndarray, n: int) -> None:
+        if alone:
+            total[0] += n * len(at)
+        else:
+            np.add.at(total, at, n)
+
+    def join(i: int, todo: np.ndarray, rest: np.ndarray | float, again: bool) -> None:
+        """Customers sit down at the table of a random other one, with chance (size - discount) / size, or try again."""
+        mine, one = seats[first_of[i]:], not isinstance(rest, np.ndarray)
+        while (n := len(todo)) > FEW:
+            draws = rng.random(2 * n)
+            who = (draws[:n] * rest).astype(np.int64)
+            if again:
+                who += who >= i
+            who = first.take(who)
+            who += todo
+            table = seats.take(who)
+            there = size.take(table)
+            taken = draws[n:] * there < there - discount
+            mine[todo] = table      # for good where it is taken
+            there += taken
+            size[table] = there
+            more = (~taken).nonzero()[0]
+            todo = todo.take(more)
+            rest = rest if one else rest.take(more)
+        todo, rest = todo.tolist(), [rest] * n if one else rest.tolist()
+        while todo:             # the same for few customers, for whom arrays are slow
+            n, draws, more = len(todo), rng.random(2 * len(todo)).tolist(), []
+            for k, d in enumerate(todo):
+                who = int(draws[k] * rest[k])
+                if again and who >= i:
+                    who += 1
+                table = seat_of[first_of[who] + d]
+                there = size_of[table]
+                if draws[n + k] * there < there - discount:
+                    mine[d] = table
+                    size_of[table] = there + 1
+                else:
+                    more.append(k)
+            todo, rest = [todo[k] for k in more], [rest[k] for k in more]
+
+    def place(i: int, todo: np.ndarray) -> None:
+        """Customers open a table: in their own place, or a random one without a table."""
+        a, mine = first_of[i], seats[first_of[i]:]
+        slot = todo + a
+        while len(todo) > FEW:
+            free = size.take(slot) == 0
+            mine[todo] = slot       # for good where it is free
+            size[slot[free]] = 1
+            todo = todo[~free]
+            if len(todo):
+                slot = first.take((rng.random(len(todo)) * units.take(todo)).astype(np.int64)) + todo
+        todo, slots = todo.tolist(), slot.tolist()
+        while todo:
+            more = []
+            for d, table in zip(todo, slots):
+                if size_of[table]:
+                    more.append(d)
+                else:
+                    seat_of[a + d] = table
+                    size_of[table] = 1
+            if more:
+                slots = [first_of[int(x * units[d])] + d for d, x in zip(more, rng.random(len(more)).tolist())]
+            todo = more
 
     def sweep(again: bool) -> None:
-        for i, n in enumerate(n_at):
-            me = first[:n] + i
+        for i, (a, n, mine, at, share, rest, tables_of) in enumerate(steps):
             if again:       # leave the table
-                left = first[:n] + seats[me]
-                size[left] -= 1
-                closed = size[left] == 0
-                open_[:n] -= closed
-                np.subtract.at(total, house_of[:n][closed], 1)
-                rest = units[:n] - 1
-            else:
-                rest = np.full(n, i)
-            new_weight = weight(n)
-            new = rng.random(n) * (new_weight + rest - discount * open_[:n]) < new_weight
+                left = size.take(mine)
+                left -= 1
+                size[mine] = left
+                closed = (left == 0).nonzero()[0]
+                if len(closed):
+                    tables_of[closed] -= 1
+                    add(at.take(closed), -1)
+            limit = tables_of * -discount
+            new_weight = weight(at, share)
+            limit += new_weight + (rest if again else i)
+            limit *= rng.random(n)
+            new = limit < new_weight
             if i == 0 and not again:
                 new[:] = True
-            todo = np.flatnonzero(~new)
-            while len(todo):    # the table of a random other customer, with chance (size - discount) / size
-                who = (rng.random(len(todo)) * rest[todo]).astype(np.int64)
-                if again:
-                    who += who >= i
-                table = seats[first[todo] + who]
-                there = size[first[todo] + table]
-                taken = rng.random(len(todo)) * there < there - discount
-                done, at = todo[taken], table[taken]
-                seats[me[done]] = at
-                size[first[done] + at] += 1
-                todo = todo[~taken]
-            todo = np.flatnonzero(new)
-            open_[todo] += 1
-            np.add.at(total, house_of[todo], 1)
-            slot = np.full(len(todo), i, np.int64)
-            while len(todo):    # a place without a table
-                free = size[first[todo] + slot] == 0
-                done = todo[free]
-                seats[me[done]] = slot[free]
-                size[first[done] + slot[free]] = 1
-                todo = todo[~free]
-                slot = (rng.random(len(todo)) * units[todo]).astype(np.int64)
+            todo = new.nonzero()[0]
+            if len(todo) < n:
+                stay = (~new).nonzero()[0]
+                join(i, stay, rest.take(stay) if again else float(i), again)
+            if len(todo):
+                tables_of[todo] += 1
+                add(at.take(todo), 1)
+                place(i, todo)
         if len(large):          # customers beyond UNITS open tables at the rate of the same rule
-            a = weight(large)
-            opened = rng.poisson(a * np.log((a + customers[busy[large]]) / (a + units[large])))
+            w = weight(house_of[large], chance[large])
+            opened = rng.poisson(w * np.log((w + customers[busy[large]]) / (w + units[large])))
             np.add.at(total, house_of[large], opened - extra[large])
             extra[large] = np.minimum(opened, customers[busy[large]] - units[large])
 
@@ -234,12 +316,14 @@ def _row_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], _ROW.fieldNames())
 
 
-def _bucket_of(context: np.ndarray, word: np.ndarray, pieces: np.ndarray, n: int) -> np.ndarray:
-    """Bucket of a pair: by its context, or for a split one (pieces > 1) by context and piece."""
-    plain = mix(context) % np.uint64(n)
-    piece = mix(word ^ np.uint64(0xA5A5)) % pieces.astype(np.uint64)
-    split = np.uint64(n) + mix(context + (piece + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(n)
-    return np.where(pieces > 1, split, plain).astype(np.int64)
+def _bucket_of(names: np.ndarray, context: np.ndarray, word: np.ndarray, pieces: np.ndarray, n: int) -> np.ndarray:
+    """Bucket of pairs of names: by the context, or for a split one (pieces > 1) by context and piece."""
+    bucket = (mix(names) % np.uint64(n)).astype(np.int64)[context]
+    split = np.flatnonzero((pieces > 1)[context])
+    piece = mix(names[word[split]] ^ np.uint64(0xA5A5)) % pieces[context[split]].astype(np.uint64)
+    shifted = names[context[split]] + (piece + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    bucket[split] = n + (mix(shifted) % np.uint64(n)).astype(np.int64)
+    return bucket
 
 
 def _stream_key(chunk: int, n: int) -> int:
@@ -259,7 +343,7 @@ def _chunk_rows(texts: list[tuple[np.ndarray, np.ndarray]], train: np.ndarray, c
     token[:-1][inner] = np.concatenate([h for h, _ in texts])
     token[ends] = _END
     texts.clear()
-    names, ids = _groups(token)
+    names, ids = _named(token)
     del token, inner
     pair = np.empty(len(doc), np.int64)
     pair[1:] = ids[:-2]
@@ -273,13 +357,13 @@ def _chunk_rows(texts: list[tuple[np.ndarray, np.ndarray]], train: np.ndarray, c
     there = place < len(names)
     there[there] = names[place[there]] == hot["names"][there]
     pieces[place[there]] = hot["pieces"][there]
-    bucket = _bucket_of(names[context], names[word], pieces[context], n_buckets)
-    order = np.argsort(bucket, kind="stable")
+    bucket = _bucket_of(names, context, word, pieces, n_buckets)
+    order = _in_order(bucket, 2 * n_buckets)
     rank = np.empty(len(order), np.int32)
     rank[order] = np.arange(len(order), dtype=np.int32)
     seen = np.bincount(of_token[train[doc]], minlength=len(pair))[order]
     bucket, context, word = bucket[order], context[order], word[order]
-    check = int(mix(np.array([number], np.uint64))[0] ^ np.bitwise_xor.reduce(mix(names[context] + mix(names[word]) * np.uint64(3))))
+    check = int(mix(np.array([number], np.uint64))[0] ^ np.bitwise_xor.reduce(mix(names[context] + (mix(names) * np.uint64(3))[word])))
     chunk = check - (1 << 64) if check >= 1 << 63 else check
     rows = []
     edges = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1))
@@ -391,17 +475,19 @@ _REPLY = ("key int, place int, words binary, served binary, houses binary, table
 def _dealt(names: np.ndarray, n_buckets: int) -> list[np.ndarray]:
     """Which of the names have their place in each bucket, in their order."""
     place = (mix(names) % np.uint64(n_buckets)).astype(np.int64)
-    return np.split(np.argsort(place, kind="stable"), np.cumsum(np.bincount(place, minlength=n_buckets))[:-1])
+    return np.split(_in_order(place, n_buckets), np.cumsum(np.bincount(place, minlength=n_buckets))[:-1])
 
 
 def _first_tables(b: _Bucket, model: Model, rng: np.random.Generator, shares: np.ndarray) -> np.ndarray:
     """Tables of the pairs of a bucket by itself: its tables of a word predict the word, as the parent will.
     A split context has but one share of the words here."""
     uniform = model.parent_strength / max(1, len(b.words))
+    split = bool((shares > 1).any())
 
     def predict(tables: np.ndarray) -> np.ndarray:
         guests = np.bincount(b.word, tables, len(b.words))
-        return ((guests + uniform) / (guests.sum() + model.parent_strength))[b.word] / shares[b.context]
+        chance = ((guests + uniform) / (guests.sum() + model.parent_strength))[b.word]
+        return chance / shares[b.context] if split else chance
 
     return seat(b.customers, b.context, predict(np.minimum(b.customers, 1)), model.discount, model.strength,
                 others=np.zeros(len(b.contexts)), rng=rng, burn_in=model.first, samples=1, shares=shares, predict=predict)
@@ -487,7 +573,7 @@ class _Seated:
             if len(values) != len(names):
                 raise RuntimeError("replies do not belong to this bucket: a chunk was made again from other rows")
             out = np.empty_like(values)
-            out[np.argsort(mix(names) % np.uint64(n), kind="stable")] = values
+            out[_in_order(mix(names) % np.uint64(n), n)] = values
             return out
 
         of_words = lambda c: gather(b.words, [_unpack(x) for x in columns[c]])

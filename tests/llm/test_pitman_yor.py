@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -43,6 +44,119 @@ def test_seating_samples_the_posterior(n, base, discount, strength, others):
     assert abs(got.mean() - exact_tables(n, base, discount, strength, others)) < 0.03
 
 
+def seated_plainly(customers, house, base, discount, strength, *, others, rng, burn_in, samples, shares=1, predict=None):
+    """The same seating with each dish's customers side by side, and arrays for every step however few sit down."""
+    shares = np.broadcast_to(shares, len(others))
+    tables = np.minimum(customers, 1).astype(np.float64)
+    busy = np.flatnonzero(customers > 1)
+    if not len(busy):
+        return tables
+    busy = busy[np.argsort(-customers[busy], kind="stable")]
+    units = np.minimum(customers[busy], py.UNITS)
+    first = np.cumsum(units) - units
+    house_of, chance = house[busy], base[busy]
+    total = np.bincount(house, tables, len(others)) - np.bincount(house_of, minlength=len(others))
+    seats, size = np.zeros(int(units.sum()), np.int32), np.zeros(int(units.sum()), np.int32)
+    open_, extra = np.zeros(len(busy), np.int64), np.zeros(len(busy), np.int64)
+    n_at = np.searchsorted(-units, -np.arange(int(units[0])), "left")       # dishes that have a customer i
+    large = np.flatnonzero(customers[busy] > units)
+
+    def weight(n: int | np.ndarray) -> np.ndarray:
+        at = house_of[n] if isinstance(n, np.ndarray) else house_of[:n]
+        share = chance[n] if isinstance(n, np.ndarray) else chance[:n]
+        return (strength + discount * (total[at] * shares[at] + others[at])) * share
+
+    def sweep(again: bool) -> None:
+        for i, n in enumerate(n_at):
+            me = first[:n] + i
+            if again:       # leave the table
+                left = first[:n] + seats[me]
+                size[left] -= 1
+                closed = size[left] == 0
+                open_[:n] -= closed
+                np.subtract.at(total, house_of[:n][closed], 1)
+                rest = units[:n] - 1
+            else:
+                rest = np.full(n, i)
+            new_weight = weight(n)
+            new = rng.random(n) * (new_weight + rest - discount * open_[:n]) < new_weight
+            if i == 0 and not again:
+                new[:] = True
+            todo = np.flatnonzero(~new)
+            while len(todo):    # the table of a random other customer, with chance (size - discount) / size
+                who = (rng.random(len(todo)) * rest[todo]).astype(np.int64)
+                if again:
+                    who += who >= i
+                table = seats[first[todo] + who]
+                there = size[first[todo] + table]
+                taken = rng.random(len(todo)) * there < there - discount
+                done, at = todo[taken], table[taken]
+                seats[me[done]] = at
+                size[first[done] + at] += 1
+                todo = todo[~taken]
+            todo = np.flatnonzero(new)
+            open_[todo] += 1
+            np.add.at(total, house_of[todo], 1)
+            slot = np.full(len(todo), i, np.int64)
+            while len(todo):    # a place without a table
+                free = size[first[todo] + slot] == 0
+                done = todo[free]
+                seats[me[done]] = slot[free]
+                size[first[done] + slot[free]] = 1
+                todo = todo[~free]
+                slot = (rng.random(len(todo)) * units[todo]).astype(np.int64)
+        if len(large):          # customers beyond UNITS open tables at the rate of the same rule
+            a = weight(large)
+            opened = rng.poisson(a * np.log((a + customers[busy[large]]) / (a + units[large])))
+            np.add.at(total, house_of[large], opened - extra[large])
+            extra[large] = np.minimum(opened, customers[busy[large]] - units[large])
+
+    sweep(False)
+    mean = np.zeros(len(busy))
+    for i in range(burn_in + samples):
+        if predict:
+            tables[busy] = open_ + extra
+            chance[:] = predict(tables)[busy]
+        sweep(True)
+        if i >= burn_in:
+            mean += open_ + extra
+    tables[busy] = mean / samples
+    return tables
+
+
+def dishes(n, customers, houses, shares):
+    rng = np.random.default_rng(4)
+    n_houses = max(houses, 1)
+    return dict(customers=customers(rng, n), house=rng.integers(0, n_houses, n), base=rng.random(n) / 50,
+                others=rng.integers(0, 9, n_houses) * (houses > 5) * 1.0, shares=np.where(np.arange(n_houses) % 2, shares, 1))
+
+
+@pytest.mark.parametrize("houses,shares", [(1, 1), (1, 7), (5, 1), (40, 3)])
+@pytest.mark.parametrize("changes", [False, True])
+def test_seating_uses_its_random_numbers_as_step_by_step(houses, shares, changes):
+    """Frequent and rare dishes, one and many restaurants, whole and in shares, with a parent that moves."""
+    many = lambda rng, n: np.minimum(rng.zipf(1.4, n), 4 * py.UNITS) * (rng.random(n) < 0.9)
+    given = dishes(900, many, houses, shares)
+    predict = (lambda tables: (tables + 1) / (60 * (tables.sum() + 1))) if changes else None
+    got, want = (f(given["customers"], given["house"], given["base"].copy(), 0.75, 1.0, others=given["others"], shares=given["shares"],
+                   rng=np.random.default_rng(5), burn_in=1, samples=2, predict=predict) for f in (py.seat, seated_plainly))
+    assert (given["customers"] > py.UNITS).any() and got.tolist() == want.tolist()
+
+
+def test_steps_of_few_customers_take_little_time():
+    """A frequent dish has a step for each customer, in which only the few dishes that are as frequent take part."""
+    given = dishes(8, lambda rng, n: rng.integers(900, 1000, n), 3, 1)
+
+    def seconds(f):
+        start = time.process_time()
+        f(given["customers"], given["house"], given["base"].copy(), 0.75, 1.0, others=given["others"], shares=given["shares"],
+          rng=np.random.default_rng(5), burn_in=1, samples=2)
+        return time.process_time() - start
+
+    took = [(seconds(py.seat), seconds(seated_plainly)) for _ in range(5)]
+    assert min(a for a, _ in took) < 0.8 * min(b for _, b in took), took
+
+
 def test_seating_of_many_customers():
     n = np.array([5 * py.UNITS, 1, 0, py.UNITS // 2])
     got = py.seat(n, np.zeros(4, int), np.array([0.1, 0.2, 0.3, 0.01]), 0.5, 1.0, others=np.zeros(1),
