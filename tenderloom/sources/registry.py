@@ -26,10 +26,16 @@ def read_registry(spark: SparkSession, root: str, months: list[str]) -> DataFram
     paths = [f"{root}/month={m}" for m in months]
     name = f'"{fv.REGISTRY_RECORD_FIELD}"'
     pieces = in_file_order(spark.read.option("basePath", root).option("lineSep", name).text(paths), paths)
-    whole = F.when(~F.rtrim(F.regexp_replace("value", r"\s+$", "")).endswith(","), F.col("value")).otherwise(
+    value = F.col("value")
+    # records of an array follow each other as ``},{"name"``: most pieces are told by their first and last character
+    opens = F.when(value.startswith(":"), F.lit(True)).otherwise(value.rlike(r"^\s*:"))
+    whole = F.when(value.endswith("{"), value).when(
+        ~F.rtrim(F.regexp_replace("value", r"\s+$", "")).endswith(","), value).otherwise(
         F.raise_error(F.lit("a registry record has fields before " + name)))
     record = F.from_json(F.concat(F.lit("{" + name), whole), REGISTRY_RECORD)
-    return pieces.where(F.col("value").rlike(r"^\s*:")).select("month", "ord", record.alias("r")).select("month", "r.*", "ord")
+    # a generator's row: conditions on the record stay above it, so that none of them parses the text again
+    parsed = pieces.where(opens).select("month", "ord", F.explode(F.array(record)).alias("r"))
+    return parsed.select("month", "r.*", "ord")
 
 
 def normalize_registry(records: DataFrame) -> DataFrame:

@@ -108,3 +108,13 @@ def test_records_are_numbered_without_an_exchange(spark, tmp_path, monkeypatch):
         assert [r["value"] for r in read.orderBy("ord").collect()] == ["a", "b"]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_a_registry_record_is_parsed_once(spark, tmp_path):
+    # conditions on parsed fields, put below the parse, would parse each text again for every condition
+    (tmp_path / "month=2026-06").mkdir()
+    (tmp_path / "month=2026-06" / "a.json").write_text(export(["a", "", "b"]).replace('}, {', '}\n\t ,\n {'), "utf-8")
+    rows = sr.normalize_registry(sr.read_registry(spark, str(tmp_path), ["2026-06"])).select("id", "title", "award", "deadline")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1
+    assert sorted(r.id for r in rows.collect()) == ["rvz:a", "rvz:b"]
