@@ -6,6 +6,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from tenderloom.functions import records as rec
+from tenderloom.schemas import PROFILE_RECORD, part_of
 from tenderloom.sources import contracts as sc
 from tenderloom.sources import feed as sf
 from tenderloom.sources import profiles as sp
@@ -118,3 +120,26 @@ def test_a_registry_record_is_parsed_once(spark, tmp_path):
     plan = rows._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json(") == 1
     assert sorted(r.id for r in rows.collect()) == ["rvz:a", "rvz:b"]
+
+
+PROFILE = """<profil><zakazka><id_objektu>1</id_objektu><nazev_vz>A</nazev_vz><casti_vz><cast_zakazky>
+  <zadavaci_postup_casti><stav_zadavaciho_postupu>x</stav_zadavaciho_postupu><lhuty_zadavaciho_postupu>
+  <lhuta><druh_lhuty>Lhůta pro podání nabídek</druh_lhuty><datum_konce_lhuty>2026-01-02T10:00:00</datum_konce_lhuty></lhuta>
+  </lhuty_zadavaciho_postupu></zadavaci_postup_casti></cast_zakazky></casti_vz></zakazka>
+  <zakazka><id_objektu>2</id_objektu></zakazka></profil>"""
+
+
+def test_a_profile_export_is_read_by_the_fields_that_are_named(spark, tmp_path):
+    (tmp_path / "key=nachod").mkdir()
+    (tmp_path / "key=nachod" / "p.xml").write_text(PROFILE, "utf-8")
+    lot = "casti_vz.cast_zakazky.zadavaci_postup_casti"
+    part = sp.read_profile_xml(spark, str(tmp_path), part_of(PROFILE_RECORD, "id_objektu", f"{lot}.lhuty_zadavaciho_postupu"))
+    assert part.columns == ["id_objektu", "casti_vz", "key", "ord"]
+    assert "stav_zadavaciho_postupu" not in part._jdf.queryExecution().optimizedPlan().schema().simpleString()
+
+    def deadlines(records):
+        terms = rec._flat(F.transform("casti_vz.cast_zakazky", lambda c: c["zadavaci_postup_casti"]["lhuty_zadavaciho_postupu"]["lhuta"]))
+        return [tuple(r) for r in records.select("id_objektu", rec.derive_deadline_profile(terms), "ord").orderBy("id_objektu").collect()]
+
+    assert deadlines(part) == deadlines(sp.read_profile_xml(spark, str(tmp_path)))
+    assert [d[:2] for d in deadlines(part)] == [("1", "2026-01-02T10:00:00"), ("2", None)]
