@@ -6,6 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from catalog import ingest
 from tenderloom.functions import records as rec
 from tenderloom.schemas import PROFILE_RECORD, part_of
 from tenderloom.sources import contracts as sc
@@ -143,3 +144,12 @@ def test_a_profile_export_is_read_by_the_fields_that_are_named(spark, tmp_path):
 
     assert deadlines(part) == deadlines(sp.read_profile_xml(spark, str(tmp_path)))
     assert [d[:2] for d in deadlines(part)] == [("1", "2026-01-02T10:00:00"), ("2", None)]
+
+
+def test_xml_exports_are_written_without_indentation(spark, tmp_path):
+    rows = spark.createDataFrame([("1", "á & <b>", ["x", None])], "id_objektu string, nazev_vz string, l array<string>").coalesce(1)
+    ingest._xml(rows, "zakazka", "profil").save(str(tmp_path / "out"))
+    text = gzip.decompress(next((tmp_path / "out").glob("*.gz")).read_bytes()).decode()
+    assert "<zakazka><id_objektu>1</id_objektu><nazev_vz>á &amp; &lt;b" in text
+    (tmp_path / "out").rename(tmp_path / "key=nachod")
+    assert sp.read_profile_xml(spark, str(tmp_path)).select("id_objektu", "nazev_vz").collect() == [("1", "á & <b>")]
