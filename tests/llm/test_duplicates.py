@@ -183,3 +183,45 @@ def test_components_of_chains_and_stars(spark):
             want[a] = want[b] = min(want[a], want[b])
     assert got == want
     assert graph.components(spark.createDataFrame([], "a long, b long"), "a", "b").count() == 0
+
+
+def test_short_lists_are_sorted_by_one_number_and_merged_as_arrays(spark):
+    """Against counting by hand: equal sizes, equal classes met often, lists that are long."""
+    rng = random.Random(4)
+    rows = [(cls, 10 + cls % 3, sorted(rng.sample(range(-40, 40), 9)) + ([99] if cls < 70 else []), [1] * (cls % 2)) for cls in rng.sample(range(1000), 120)]
+    rows += [(2000 + i, 11, [99], []) for i in range(ngram_join.LONG_LIST + 1)]
+    firsts = spark.createDataFrame(rows, "cls long, n long, short array<int>, long array<int>").repartition(3)
+    lists = ngram_join._short_lists(firsts, 80)
+    plan = lists._jdf.queryExecution().executedPlan().toString()
+    assert re.findall(r"Sort \[(.*?)\], false", plan) and all("," not in keys for keys in re.findall(r"Sort \[(.*?)\], false", plan))
+    of_token = {}
+    for cls, n, short, _ in rows:
+        for t in short:
+            of_token.setdefault(t, []).append((n, cls))
+    want, pairs = [], {}
+    for t, members in of_token.items():
+        for i, (n, cls) in enumerate(sorted(members)):
+            if len(members) > ngram_join.LONG_LIST:
+                want.append((cls, t, None))
+            elif len(members) > 1:
+                others = sorted(c for m, c in sorted(members)[:i] if 100 * m >= 80 * n)
+                want.append((cls, None, others))
+                for y in others:
+                    pairs[cls, y] = pairs.get((cls, y), 0) + 1
+    key = lambda r: (r[0], r[1] is None, r[1] or 0, r[2] or [])
+    assert sorted(((r.cls, r.token, r.others) for r in lists.collect()), key=key) == sorted(want, key=key)
+
+    sizes = {cls: (n, len(long)) for cls, n, _, long in rows}
+    in_long = {cls: sum(1 for c, t, _ in want if c == cls and t is not None) for cls in sizes}
+    met = {}
+    for (x, y), times in pairs.items():
+        n, n_long = sizes[x][0], sizes[x][1] + in_long[x]
+        if times >= max(1, ngram_join._overlap(n, ngram_join._needed(n, 80), 80) - ngram_join._slack(n, 80) - n_long):
+            met.setdefault(x, []).append((times, -y))
+    expected = set()
+    for x, found in met.items():
+        for times, y in found:
+            m, n = sizes[-y][0], sizes[x][0]
+            if times + sizes[x][1] + in_long[x] >= ngram_join._overlap(n, m, 80) - max(ngram_join._slack(n, 80), ngram_join._slack(m, 80)):
+                expected.add((x, -y, (times, y) == max(found)))
+    assert expected and {tuple(r) for r in ngram_join._merged(lists, 80).collect()} == expected
