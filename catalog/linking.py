@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.views import TODAY, query, view
+from catalog.views import TODAY, query, stored, view
 from tenderloom import Settings
 from tenderloom.functions import numbers as nm
 from tenderloom.functions import text as tx
+from tenderloom.materialize import materialize
 from tenderloom.operators import competition as cp
 from tenderloom.operators import filters as fl
 from tenderloom.operators import linking as ln
@@ -167,15 +168,26 @@ priced AS (SELECT *, price_contracted + am AS eff_price,
   FROM eff)"""
 
 
-def _priced(spark, sf):
-    contracts = view(spark, sf, "contract_v")
-    links = ln.amendment_attach(_matches(spark, sf, "true"), ln.amendment_rows(contracts))
-    return cp.with_amendments(view(spark, sf, "competition_v"), links)
+def _priced(spark, sf, *columns):
+    """The awards (these columns of them, or all) with amendments. Awards, contracts, links and totals are stored
+    one after the other: the awards are made once for both of their uses, and a step's shuffle files are freed
+    before the next step writes its own."""
+    wanted = [F.col(c) for c in dict.fromkeys((*_AWARD, *columns))] if columns else ["*"]
+    competition = stored(spark, sf, "competition_v", lambda v: v.select(*wanted), "competition")
+    contracts = stored(spark, sf, "contract_v", ln.signed_contracts, "contracts")
+    links = materialize(ln.contract_matches(competition, contracts, stored=True), "links")
+    amendments = stored(spark, sf, "contract_v", lambda v: ln.amendment_rows(v).drop("url").withColumn(
+        "url", F.lit(None).cast("string")), "amendments")
+    attached = ln.amendment_attach(links, amendments)
+    return cp.with_amendments(competition, materialize(attached.select("tender_id", "amendments_total"), "totals"))
+
+
+_AWARD = ("id", "authority_ico", "winner_ico", "awarded", "price_contracted", "price_paid")
 
 
 @query(f", {_EFF} SELECT id, round(eff_price, 2) AS eff_price, eff_growth + 0.0 AS eff_growth FROM priced", "competition_v", "contract_v")
 def effective_price(spark, sf):
-    return _priced(spark, sf).select("id", F.round("eff_price", 2).alias("eff_price"), (F.col("eff_growth") + F.lit(0.0)).alias("eff_growth"))
+    return _priced(spark, sf, "id").select("id", F.round("eff_price", 2).alias("eff_price"), (F.col("eff_growth") + F.lit(0.0)).alias("eff_growth"))
 
 
 @query("""
@@ -210,7 +222,7 @@ SELECT firm, ico, n, round(CAST(v AS DOUBLE), 2) AS volume,
   (SELECT round(CAST(sum(v) AS DOUBLE), 0) FROM firms) AS grand_total
 FROM firms ORDER BY v DESC, firm LIMIT 10""", "competition_v", "contract_v")
 def top_firms(spark, sf):
-    top = cp.top_firms(_priced(spark, sf))
+    top = cp.top_firms(_priced(spark, sf, "winner"))
     return top.select("firm", "ico", "n", F.round("volume", 2).alias("volume"), "bar_pct", F.round("grand_total", 0).alias("grand_total"))
 
 

@@ -5,9 +5,15 @@ The texts are plain SQL that Spark and DuckDB both read; table names stand in br
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tenderloom.materialize import materialize
+
+PASS_LINES = 40_000_000         # lines whose views are stored at a time
 TODAY = "1998-06-01"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
@@ -124,10 +130,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The view as a DataFrame, with arrays and structs in place of joined text."""
+def view(spark: SparkSession, sf_dir: str, name: str, part: int = 0, parts: int = 1) -> DataFrame:
+    """The view as a DataFrame, with arrays and structs in place of joined text; of the views over the lines
+    of orders also the rows of one part of the orders only."""
     text = SQL[name]
     frames = {t: table(spark, sf_dir, t) for t in TABLES if "{" + t + "}" in text}
+    if parts > 1:
+        for t, key in (("lineitem", "l_orderkey"), ("orders", "o_orderkey")):
+            frames[t] = frames[t].where(F.pmod(F.xxhash64(key), F.lit(parts)) == part)
     if name in ("competition_v", "contract_v"):
         # lines are grouped by order and more, then joined with their order: one exchange serves both
         frames["lineitem"] = frames["lineitem"].repartition("l_orderkey")
@@ -149,6 +159,13 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
+def stored(spark: SparkSession, sf_dir: str, name: str, of, label: str) -> DataFrame:
+    """What ``of`` takes from a view over the lines of orders, written once. Many lines are taken a part of the
+    orders at a time, so the shuffle files of one part at a time are on disk."""
+    parts = max(1, math.ceil(table(spark, sf_dir, "lineitem").count() / PASS_LINES))
+    return reduce(DataFrame.unionByName, [materialize(of(view(spark, sf_dir, name, i, parts)), label) for i in range(parts)])
+
+
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 

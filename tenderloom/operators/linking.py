@@ -7,6 +7,9 @@ Competition: id, authority_ico, winner_ico ('; '-joined), awarded, price_contrac
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +23,7 @@ from tenderloom.settings import Settings
 # Dates are matched through bins as wide as the longest window, so an interval touches
 # two bins at most and the join has an equality on (buyer, supplier, bin).
 _EPOCH = "1970-01-01"
+PASS_ROWS = 60_000_000          # awards and contracts that are paired at a time
 
 
 def _bin(date: Column, days: int) -> Column:
@@ -58,6 +62,12 @@ def _awarded(competition: DataFrame) -> DataFrame:
     ).where("awarded IS NOT NULL")
 
 
+def signed_contracts(contracts: DataFrame) -> DataFrame:
+    """The rows and columns that ``contract_matches`` looks at, for whoever stores them beforehand."""
+    return contracts.where(F.col("platny") & ~_present("parent") & _day("datum").isNotNull()).select(
+        "id", "verze", "url", "platny", "ico_zadavatel", "parties", "datum", "hodnota", "parent", "ord")
+
+
 def _usable(contracts: DataFrame) -> DataFrame:
     """Valid signed contracts that are no amendments."""
     return contracts.where(F.col("platny") & ~_present("parent")).select(
@@ -70,16 +80,20 @@ def _usable(contracts: DataFrame) -> DataFrame:
 def _pairs(tenders: DataFrame, usable: DataFrame, settings: Settings) -> DataFrame:
     before, after = settings.contract_days_before, settings.contract_days_after
     width = before + after + 1
+    # only where both sides have several can a pair meet at another than its first common supplier
+    several = lambda c: F.when(F.size(c) > 1, F.col(c)).alias(c)
     tenders = tenders.select("*", F.explode("winners").alias("supplier")).select(
-        "*",
+        "tender_id", "buyer", several("winners"), "awarded", "price_contracted", "supplier",
         F.explode(F.sequence(
             _bin(F.date_sub("awarded", before), width), _bin(F.date_add("awarded", after), width)
         )).alias("bin"),
     )
-    usable = usable.select("*", F.explode("parties").alias("supplier"), _bin(F.col("signed"), width).alias("bin"))
+    usable = usable.select("*", F.explode("parties").alias("supplier"), _bin(F.col("signed"), width).alias("bin")) \
+        .withColumn("parties", several("parties"))
+    first = F.coalesce(F.get(F.array_intersect("winners", "parties"), F.lit(0)) == F.col("supplier"), F.lit(False))
     pairs = tenders.join(usable, ["buyer", "supplier", "bin"]).where(
         F.col("signed").between(F.date_sub("awarded", before), F.date_add("awarded", after))
-        & (F.get(F.array_intersect("winners", "parties"), F.lit(0)) == F.col("supplier"))
+        & (F.col("winners").isNull() | F.col("parties").isNull() | first)
     )
     return pairs.select(
         "tender_id", "awarded", "price_contracted", "contract_id", "verze", "url", "signed", "hodnota", "ord"
@@ -125,21 +139,37 @@ def contract_best_match(candidates: DataFrame, settings: Settings = Settings())
     return _best(_newest(candidates), settings)
 
 
-def contract_matches(competition: DataFrame, contracts: DataFrame, settings: Settings = Settings()) -> DataFrame:
+def _pairs_by_parts(tenders: DataFrame, usable: DataFrame, rows: int, settings: Settings) -> DataFrame:
+    """``_pairs`` of stored frames, a part of the buyers at a time if there are many rows: pairs are few, and
+    the shuffle files of one part at a time are on disk."""
+    parts = max(1, math.ceil(rows / PASS_ROWS))
+    if parts == 1:
+        return _pairs(tenders, usable, settings)
+    of = lambda df, i: df.where(F.pmod(F.xxhash64("buyer"), F.lit(parts)) == i)
+    return reduce(DataFrame.unionByName, [
+        materialize(_pairs(of(tenders, i), of(usable, i), settings), "pairs") for i in range(parts)])
+
+
+def contract_matches(
+    competition: DataFrame, contracts: DataFrame, settings: Settings = Settings(), stored: bool = False
+) -> DataFrame:
     """``contract_best_match`` of all candidates, also where one buyer and supplier have very many.
 
     A tender of a pair with at most ``settings.paired_contracts`` contract versions meets them in the
     join of ``contract_candidates``. Tenders of larger pairs search their contracts by price
     (``nearest_contracts``). Two kinds of rows of those stay with the join, because nearness does not
     decide them: tenders with a negative price, and contracts whose versions name different parties,
-    for tenders with several winners.
+    for tenders with several winners. ``stored`` says that both frames are read from files as they are.
     """
-    usable = materialize(_usable(contracts), "contracts")      # read for the count and for the match
+    # read for the count and for the match
+    usable = _usable(contracts) if stored else materialize(_usable(contracts), "contracts")
     one_each = usable.select("*", F.explode("parties").alias("supplier"))
     large = one_each.groupBy("buyer", "supplier").agg(F.count("*").alias("n")).where(
         F.col("n") > settings.paired_contracts).select("buyer", "supplier")
     if large.isEmpty():
-        return _best(_newest(_pairs(_awarded(competition), usable, settings)), settings)
+        awards = _awarded(competition)
+        rows = awards.count() + usable.count() if stored else 0
+        return _best(_newest(_pairs_by_parts(awards, usable, rows, settings)), settings)
     tenders = materialize(_awarded(competition), "awards")
     asking = tenders.select("tender_id", "buyer", F.explode("winners").alias("supplier")).join(
         large, ["buyer", "supplier"], "left_semi").select("tender_id").distinct()

@@ -2,10 +2,12 @@
 
 import random
 from dataclasses import replace
+from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
+from catalog import views
 from tenderloom import Settings
 from tenderloom.operators import linking as ln
 
@@ -92,3 +94,45 @@ def test_nothing_to_match(spark):
     awards, contracts = tables(spark, 4, 10)
     assert ln.contract_matches(awards.limit(0), contracts).count() == 0
     assert ln.contract_matches(awards, contracts.limit(0), replace(Settings(), paired_contracts=0)).count() == 0
+
+
+def test_pairs_found_in_parts_are_those_found_at_once(spark, monkeypatch):
+    """Also awards of several winners and contracts of several parties, which meet once only."""
+    rng = random.Random(7)
+    day = lambda: f"1997-{rng.randint(1, 12):02d}-{rng.randint(1, 28):02d}"
+    awards = [(f"t{i}", f"b{i % 9}", "; ".join(rng.sample(["s1", "s2", "s3"], rng.randint(1, 3))), day(), 100.0 + i) for i in range(60)]
+    rows = [(f"c{i}", "1", "u", True, f"b{i % 9}", [(s, s) for s in rng.sample(["s1", "s2", "s3"], rng.randint(1, 3))],
+             day(), 100.0 + rng.randint(0, 60), None, i) for i in range(120)]
+    a = spark.createDataFrame(awards, "id string, authority_ico string, winner_ico string, awarded string, price_contracted double")
+    c = spark.createDataFrame(rows, CONTRACT)
+    pairs = ln.contract_candidates(a, c).select("tender_id", "contract_id").collect()
+    both = lambda w, p: [x for x in w.split("; ") if x in [i for i, _ in p]]
+    gap = lambda x, y: (date.fromisoformat(y) - date.fromisoformat(x)).days
+    want = [(t[0], r[0]) for t in awards for r in rows if t[1] == r[4] and both(t[2], r[5]) and -30 <= gap(t[3], r[6]) <= 120]
+    assert sorted(map(tuple, pairs)) == sorted(want)
+    once = sorted(map(tuple, ln.contract_matches(a, c).collect()))
+    monkeypatch.setattr(ln, "PASS_ROWS", 50)
+    written = []
+    real = ln.materialize
+    monkeypatch.setattr(ln, "materialize", lambda df, name="step": written.append(name) or real(df, name))
+    assert sorted(map(tuple, ln.contract_matches(a, ln.signed_contracts(c), stored=True).collect())) == once
+    assert written.count("pairs") == 4
+
+
+def test_views_are_stored_a_part_of_the_orders_at_a_time(spark, tmp_path, monkeypatch):
+    spark.createDataFrame([(i, i % 3, i % 2, 1, 1.0, 10.0, 0.1, 0.1, "R" if i % 4 else "N", "F", "1997-01-01") for i in range(40)] + [(None, 1, 1, 1, 1.0, 1.0, 0.0, 0.0, "N", "O", None)],
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber long, l_quantity double, l_extendedprice double, l_discount double,"
+        " l_tax double, l_returnflag string, l_linestatus string, l_shipdate string").write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame([(i, i % 5, "O", 1.0, "1997-01-01", "1-URGENT") for i in range(35)],
+        "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate string, o_orderpriority string").write.parquet(str(tmp_path / "orders.parquet"))
+    spark.createDataFrame([(i, "n", "b", "t", 3) for i in range(3)], "p_partkey long, p_name string, p_brand string, p_type string, p_size long").write.parquet(str(tmp_path / "part.parquet"))
+    for name, n in (("competition_v", 35), ("contract_v", 35)):
+        monkeypatch.setattr(views, "PASS_LINES", 1 << 40)
+        whole = views.stored(spark, str(tmp_path), name, lambda v: v.select("id"), "v")
+        monkeypatch.setattr(views, "PASS_LINES", 10)
+        made = []
+        real = views.materialize
+        monkeypatch.setattr(views, "materialize", lambda df, label: made.append(label) or real(df, label))
+        parts = views.stored(spark, str(tmp_path), name, lambda v: v.select("id"), "v")
+        assert len(made) == 5 and sorted(r.id for r in parts.collect()) == sorted(r.id for r in whole.collect()) and parts.count() == n
+        monkeypatch.setattr(views, "materialize", real)
