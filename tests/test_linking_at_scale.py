@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from catalog import views
 from tenderloom import Settings
 from tenderloom.operators import linking as ln
+from tenderloom.schemas import LINK
 
 AWARD = "id string, authority_ico string, winner_ico string, awarded string, price_contracted double"
 CONTRACT = ("id string, verze string, url string, platny boolean, ico_zadavatel string, parties array<struct<ico:string,nazev:string>>, "
@@ -136,3 +137,16 @@ def test_views_are_stored_a_part_of_the_orders_at_a_time(spark, tmp_path, monkey
         parts = views.stored(spark, str(tmp_path), name, lambda v: v.select("id"), "v")
         assert len(made) == 5 and sorted(r.id for r in parts.collect()) == sorted(r.id for r in whole.collect()) and parts.count() == n
         monkeypatch.setattr(views, "materialize", real)
+
+
+def test_a_dump_meets_the_awards_of_its_days_only(spark):
+    a = spark.createDataFrame([("old", "b", "s", "1990-01-01", 1.0), ("t", "b", "s", "1997-01-31", 1.0), ("early", "b", "s", "1997-05-03", 1.0),
+                               ("no", "b", "s", None, 1.0)],
+                              "id string, authority_ico string, winner_ico string, awarded string, price_contracted double")
+    c = spark.createDataFrame([("c", "1", "u", True, "b", [("s", "s")], "1997-04-03", 1.0, None, 1)], CONTRACT)
+    assert sorted(r.id for r in ln._awarded_near(a, c, Settings()).collect()) == ["early", "t"]
+    assert ln._awarded_near(a, c.where("false"), Settings()).count() == 0
+    # links of tenders that are gone leave with the first dump
+    gone = spark.createDataFrame([("gone", "x", "u", None, 1.0, "high")], LINK)
+    dumps = c.withColumn("dump", F.lit(1)).unionByName(c.withColumns({"dump": F.lit(2), "id": F.lit("d")}))
+    assert [r.tender_id for r in ln.link_dumps(a, dumps, gone).collect()] and "gone" not in [r.tender_id for r in ln.link_dumps(a, dumps, gone).collect()]
